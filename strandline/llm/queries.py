@@ -26,6 +26,26 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to token files and read back."""
+    from pyspark.sql import functions as F
+
+    from strandline.llm.tokenfile import read_token_files, write_token_files
+
+    back = read_token_files(spark, write_token_files(_read(spark, sf_dir, "documents")))
+    return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into power-of-two sequences."""
+    from pyspark.sql import functions as F
+
+    from strandline.llm.packing import pack
+
+    packed = pack(_read(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     from strandline.llm.simhash import group_documents

@@ -224,7 +224,7 @@ def group_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     named = roots.join(uniq, roots.node == uniq.fp)
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     moved = roots.join(least, "root").select("node", "least")
-    names = uniq.join(moved, uniq.fp == moved.node, "left").select("fp", F.coalesce("least", "first").alias("component_id"))
+    names = materialize(uniq.join(moved, uniq.fp == moved.node, "left").select("fp", F.coalesce("least", "first").alias("component_id")), "names")
     return rows.join(names, "fp").select(
         F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
