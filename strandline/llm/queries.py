@@ -26,6 +26,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, written and read back."""
+    from strandline.llm.warc import read_records, write_archives
+
+    back = read_records(spark, write_archives(_read(spark, sf_dir, "pages")))
+    return back.selectExpr("id as page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to token files and read back."""
     from pyspark.sql import functions as F
@@ -65,5 +73,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(sorted(found.items(), key=lambda kv: int(kv[0][2:].split("_")[0])))
 
 
+OP6_SQL = """
+with p as (
+    select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by 1)
+select page_id, payload_bytes, payload_digest,
+    case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+    case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+from p left join f using (payload_digest)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": OP6_SQL}
