@@ -26,6 +26,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from strandline.llm.html import extract
+
+    return extract(_read(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as a WARC record, written and read back."""
     from strandline.llm.warc import read_records, write_archives
