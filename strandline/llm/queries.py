@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +27,14 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added")
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    from strandline.llm.ann import NeighbourGraph
+
+    found = NeighbourGraph.build(_read(spark, sf_dir, "embeddings")).search(queries="id % 100 = 0")
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     from strandline.llm.html import extract
@@ -43,8 +52,6 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to token files and read back."""
-    from pyspark.sql import functions as F
-
     from strandline.llm.tokenfile import read_token_files, write_token_files
 
     back = read_token_files(spark, write_token_files(_read(spark, sf_dir, "documents")))
@@ -53,8 +60,6 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut into power-of-two sequences."""
-    from pyspark.sql import functions as F
-
     from strandline.llm.packing import pack
 
     packed = pack(_read(spark, sf_dir, "documents"))
