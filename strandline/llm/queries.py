@@ -35,6 +35,14 @@ def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of trusted text, and whether it is kept."""
+    from strandline.llm.quality import decide, score
+
+    scored = score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return decide(scored).select("doc_id", "perplexity", "threshold", "keep")
+
+
 def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     from strandline.llm.html import extract
