@@ -220,3 +220,18 @@ def greedy(t: Tables) -> DataFrame:
 )
 def bed_span(t: Tables) -> DataFrame:
     return iv.span(_orders(t, 30).withColumnRenamed("o_custkey", "chrom"), "o_orderkey")
+
+
+@query(
+    "A24_mean_coverage",
+    f"""select a.o_orderkey as region_id, b.l_returnflag as sample, cast(sum(least(a.e, b.e) - greatest(a.s, b.s)) as bigint) as bases
+    from ({_ORDERS.format(45)}) a join (select o_custkey, l_returnflag, {_SHIP} as s, {_SHIP} + 30 as e from lineitem join orders on l_orderkey = o_orderkey) b using (o_custkey)
+    where a.s < b.e and b.s < a.e group by 1, 2""",
+)
+def mean_coverage(t: Tables) -> DataFrame:
+    from strandline.operators.cohort import mean_coverage as covered
+
+    start = _day("l_shipdate")
+    blocks = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("chrom"), F.col("l_returnflag").alias("sample"), start.alias("start"), (start + 30).alias("end"))
+    regions = _orders(t, 45).select(F.col("o_orderkey").alias("region_id"), F.col("o_custkey").alias("chrom"), "start", "end")
+    return covered(blocks, regions, 45).select("region_id", "sample", "bases")

@@ -239,3 +239,62 @@ def left_label(t: Tables) -> DataFrame:
     labels = t.orders.where("o_totalprice > 200000").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("cluster"))
     return with_labels(t.customer.select("c_custkey"), labels, "c_custkey")
 
+
+
+@query("F06_finite_regions", "select l_orderkey, l_linenumber, l_partkey from lineitem where l_partkey not in (select l_partkey from lineitem where l_discount < 0.005)")
+def finite_regions(t: Tables) -> DataFrame:
+    from strandline.operators.cohort import usable_regions
+
+    cube = t.lineitem.withColumn("cov", F.when(F.col("l_discount") < 0.005, float("nan")).otherwise(F.col("l_discount")))
+    return usable_regions(cube, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query(
+    "F12_minor_alleles",
+    """select o_orderkey from (select o_orderkey, o_orderkey % 50 as a, o_custkey % 50 as b from orders) where 100 - greatest(a, b, 100 - a - b) >= 60""",
+)
+def minor_alleles(t: Tables) -> DataFrame:
+    rows = t.orders.select("o_orderkey", F.array(F.col("o_orderkey") % 50, F.col("o_custkey") % 50).alias("ac"), F.lit(100).cast("bigint").alias("an"))
+    return gt.minor_alleles(rows, least=60).select("o_orderkey")
+
+
+@query("F13_small_to_zero", "select l_orderkey, l_linenumber, case when l_discount < 0.03 then 0.0 else l_discount end as used from lineitem")
+def small_to_zero(t: Tables) -> DataFrame:
+    return t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_discount") < 0.03, 0.0).otherwise(F.col("l_discount")).alias("used"))
+
+
+@query("J13_record_compare", "select distinct l_orderkey as qname from lineitem where l_partkey % 100 = 0")
+def record_compare(t: Tables) -> DataFrame:
+    from strandline.operators.alignments import compare_tables
+
+    left = t.lineitem.select(F.col("l_orderkey").alias("qname"), "l_linenumber", "l_partkey", "l_quantity")
+    right = left.withColumn("l_quantity", F.when(F.col("l_partkey") % 100 == 0, F.col("l_quantity") + 1000).otherwise(F.col("l_quantity")))
+    return compare_tables({"left": left, "right": right}, ["l_linenumber", "l_partkey", "l_quantity"]).select("qname")
+
+
+@query(
+    "J10_leftovers",
+    """select o_orderkey as qname, case when l_orderkey is null then 'lost' else 'aligned' end as state from orders left join (select distinct l_orderkey from lineitem where l_quantity > 30) on l_orderkey = o_orderkey""",
+)
+def leftovers(t: Tables) -> DataFrame:
+    reads = t.orders.select(F.col("o_orderkey").alias("qname"))
+    hit = t.lineitem.where("l_quantity > 30").select(F.col("l_orderkey").alias("qname"))
+    return reads.join(hit, "qname", "left_semi").withColumn("state", F.lit("aligned")).unionByName(reads.join(hit, "qname", "left_anti").withColumn("state", F.lit("lost")))
+
+
+@query("O03_loci_order", "select l_partkey, count(distinct l_suppkey) as samples from lineitem group by 1 order by samples desc, l_partkey limit 20")
+def loci_order(t: Tables) -> DataFrame:
+    return t.lineitem.groupBy("l_partkey").agg(F.countDistinct("l_suppkey").alias("samples")).orderBy(F.desc("samples"), "l_partkey").limit(20)
+
+
+@query(
+    "N10_cohort_assignment",
+    """select c_custkey, case when n >= 0 then cast(n as varchar) end as cohort, case when n >= 0 then 'cluster' else 'unassigned' end as assignment
+    from (select c_custkey, coalesce(n, -1) as n from customer left join (select o_custkey, count(*) as n from orders where o_totalprice > 250000 group by 1) on o_custkey = c_custkey)""",
+)
+def cohort_assignment(t: Tables) -> DataFrame:
+    from strandline.operators.cohort import assign_cohorts
+
+    labels = t.orders.where("o_totalprice > 250000").groupBy(F.col("o_custkey").alias("sample")).agg(F.count(F.lit(1)).alias("cluster"))
+    out = assign_cohorts(t.customer.select(F.col("c_custkey").alias("sample")), labels, "error")
+    return out.select(F.col("sample").alias("c_custkey"), "cohort", "assignment")
