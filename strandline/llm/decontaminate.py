@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strandline.llm.shared import held
+
 SIMILARITY, LEAST_WORDS, GRAM = 0.8, 5, 3
 WALKS, BITS, RECALL = 8, 3, 0.999
 #: Share of a walk's positions assumed to differ at the least similarity (measured at most 0.6 on random edits).
@@ -206,16 +208,6 @@ def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple
         yield block
 
 
-_INDEXES: dict[str, ItemIndex] = {}
-
-
-def _index(shared) -> ItemIndex:
-    if shared.id not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[shared.id] = ItemIndex(shared.value)
-    return _INDEXES[shared.id]
-
-
 class _Shared:
     """A broadcast block with a name that workers can keep its index by."""
 
@@ -238,7 +230,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         shared = _Shared(spark.sparkContext.broadcast(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared)
+            index = held(("items", shared.id), lambda: ItemIndex(shared.value))
             for batch in batches:
                 for at in range(0, len(batch), _CHUNK):
                     part = batch.slice(at, _CHUNK)
@@ -261,7 +253,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text",
         shared = _Shared(spark.sparkContext.broadcast(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = _index(shared)
+            index = held(("items", shared.id), lambda: ItemIndex(shared.value))
             for batch in batches:
                 for at in range(0, len(batch), _CHUNK):
                     part = batch.slice(at, _CHUNK)

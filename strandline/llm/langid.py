@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.shared import read_table_files, scratch
+from strandline.llm.shared import held, materialize, read_table_files, scratch
 
 ORDER = 4
 HASH_BITS = 21
 FOLDS = 5
 #: Distinct words that a task keeps before it folds them into n-gram counts.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 250_000
 #: Allowed distance from the mean cross-entropy, in standard deviations, and the least deviation assumed (nats).
 REJECT_SIGMAS, LEAST_SIGMA = 6.0, 0.15
 
@@ -153,7 +153,7 @@ def _build(pdf):
 class _Scorer:
     """Cross-entropies of words under every language, with a bounded memory of words."""
 
-    LIMIT = 600_000
+    LIMIT = 250_000
 
     def __init__(self, uri: str):
         table = {(r["lang"], r["ord"]): r for r in read_table_files(uri).to_pylist()}
@@ -218,16 +218,6 @@ class _Scorer:
         return out
 
 
-_SCORERS: dict[str, _Scorer] = {}
-
-
-def _scorer(uri: str) -> _Scorer:
-    if uri not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[uri] = _Scorer(uri)
-    return _SCORERS[uri]
-
-
 class LanguageIdentifier:
     """A fitted identifier; ``uri`` names its model files in the shared folder."""
 
@@ -256,7 +246,7 @@ class LanguageIdentifier:
         uri, width = self.uri, len(keep)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            scorer = _scorer(uri)
+            scorer = held(("langid", uri), lambda: _Scorer(uri))
             for whole in batches:
                 for at in range(0, len(whole), 1000):
                     batch = whole.slice(at, 1000)
@@ -306,8 +296,6 @@ LEARNABLE = f"doc_id is not null and not ({HELD_OUT})"
 
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, xent, n_letters, rejected for every row of ``docs``."""
-    from strandline.llm.shared import materialize
-
     model = LanguageIdentifier.fit(docs, learn=LEARNABLE)
     scored = materialize(model.score(docs, keep=["doc_id"]), "langid-scores")
     model.calibrate(scored.where(LEARNABLE))
@@ -316,8 +304,6 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns unchanged; ``lang`` becomes the predicted language where it was null."""
-    from strandline.llm.shared import materialize
-
     columns = docs.columns
     model = LanguageIdentifier.fit(docs, learn=LEARNABLE)
     model.calibrate(materialize(model.score(docs, keep=["doc_id"]), "langid-scores").where(LEARNABLE))

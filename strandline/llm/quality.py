@@ -31,11 +31,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import materialize, open_fs, scratch
+from strandline.llm.shared import by_split, materialize, read_side, with_split, write_side
 
 ORDER = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.1, 60.0
@@ -52,43 +51,6 @@ def grams(word: str) -> list[str]:
     return [s[i : i + ORDER] for i in range(len(s) - ORDER + 1)]
 
 
-def with_split(docs: DataFrame) -> DataFrame:
-    """``docs`` plus __split, the same for all rows of an input split. Rows that don't come from files are written first."""
-    key = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("__split")
-    try:
-        return docs.select("*", key)
-    except AnalysisException:
-        return materialize(docs, "split-input").select("*", key)
-
-
-def write_side(rows: DataFrame, name: str) -> str:
-    """One side file for each split; a split's rows are bounded by the split."""
-    uri = scratch(rows.sparkSession, name)
-    rows.repartition("__split").write.partitionBy("__split").parquet(uri)
-    return uri
-
-
-def read_side(uri: str, split: int) -> pa.Table | None:
-    """A split's side rows, or None."""
-    import pyarrow.dataset as ds
-    from pyarrow import fs
-
-    filesystem, path = open_fs(f"{uri}/__split={split}")
-    if filesystem.get_file_info(path).type == fs.FileType.NotFound:
-        return None
-    return ds.dataset(path, filesystem=filesystem, format="parquet").to_table()
-
-
-def _by_split(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Batches cut where the split changes."""
-    for batch in batches:
-        keys, at = batch.column(column).to_pylist(), 0
-        for k in range(1, len(keys) + 1):
-            if k == len(keys) or keys[k] != keys[at]:
-                yield keys[at], batch.slice(at, k - at)
-                at = k
-
-
 def _count(uri: str):
     """Partial n-gram counts of trusted texts."""
 
@@ -103,7 +65,7 @@ def _count(uri: str):
                     counts[g] += n
             words.clear()
 
-        for split, batch in _by_split(batches, 2):
+        for split, batch in by_split(batches, 2):
             if split != at:
                 side = read_side(uri, split)
                 at, trusted = split, frozenset(side.column("doc_id").to_pylist()) if side else frozenset()
@@ -131,7 +93,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([split] * len(part), pa.int64()), pa.array(part, pa.string())], names=["__split", "gram"])
 
     at, found, words = None, set(), set()
-    for split, batch in _by_split(batches, 1):
+    for split, batch in by_split(batches, 1):
         if split != at:
             found.update(g for w in words for g in grams(w))
             yield from rows(at, found)
@@ -149,7 +111,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _score(uri: str, trusted_uri: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, logs, known, trusted = None, {}, {}, frozenset()
-        for split, batch in _by_split(batches, 3):
+        for split, batch in by_split(batches, 3):
             if split != at:
                 side, ids = read_side(uri, split), read_side(trusted_uri, split)
                 logs = dict(zip(side.column("gram").to_pylist(), side.column("logp").to_pylist())) if side else {}

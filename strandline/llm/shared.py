@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTING = "spark.checkpoint.dir"
 
@@ -56,3 +61,54 @@ def read_table_files(uri: str):
 
     filesystem, path = open_fs(uri)
     return ds.dataset(path, filesystem=filesystem, format="parquet", exclude_invalid_files=False).to_table()
+
+
+_HELD: dict = {}
+
+
+def held(key: tuple, make):
+    """What a Python worker keeps between tasks: one thing at a time, so that stages of different operators don't add up."""
+    if key not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def with_split(docs: DataFrame) -> DataFrame:
+    """``docs`` plus __split, the same for all rows of an input split. Rows that don't come from files are written first."""
+    key = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("__split")
+    try:
+        keyed = docs.select("*", key)
+        keyed.schema  # noqa: B018  the analysis
+        return keyed
+    except AnalysisException:
+        return materialize(docs, "split-input").select("*", key)
+
+
+def write_side(rows: DataFrame, name: str) -> str:
+    """One side file for each split; a split's rows are bounded by the split."""
+    uri = scratch(rows.sparkSession, name)
+    rows.repartition("__split").write.partitionBy("__split").parquet(uri)
+    return uri
+
+
+def read_side(uri: str, split: int) -> pa.Table | None:
+    """A split's side rows, or None."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    filesystem, path = open_fs(f"{uri}/__split={split}")
+    if filesystem.get_file_info(path).type == fs.FileType.NotFound:
+        return None
+    return ds.dataset(path, filesystem=filesystem, format="parquet").to_table()
+
+
+def by_split(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches cut where the split changes."""
+    for batch in batches:
+        keys, at = batch.column(column).to_pylist(), 0
+        for k in range(1, len(keys) + 1):
+            if k == len(keys) or keys[k] != keys[at]:
+                yield keys[at], batch.slice(at, k - at)
+                at = k
