@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.llm.components import connected_components
-from strandline.llm.shared import materialize
+from strandline.llm.shared import by_split, materialize, read_side, with_split, write_side
 
 WIDTH, SEED, RADIUS = 3, 42, 2
 NODE_LIMIT, LEVELS, LEAF = 2048, 4, 16
@@ -216,25 +216,63 @@ def links(fps: DataFrame) -> DataFrame:
     return whole.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern").mapInArrow(_search, "a long, b long")
 
 
-def group_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(id, fingerprint, component_id) for every row; component_id is the least id reachable."""
-    rows = materialize(fingerprints(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")), "__t", ["__id"]), "fingerprints")
+def _components(rows: DataFrame) -> DataFrame:
+    """(fp, component_id): the least __id of all fingerprints reachable. ``rows``: __id, fp, written."""
     uniq = materialize(rows.groupBy("fp").agg(F.min("__id").alias("first")), "uniq")
     roots = materialize(connected_components(links(uniq.select("fp"))), "roots")
     named = roots.join(uniq, roots.node == uniq.fp)
     least = named.groupBy("root").agg(F.min("first").alias("least"))
     moved = roots.join(least, "root").select("node", "least")
-    names = materialize(uniq.join(moved, uniq.fp == moved.node, "left").select("fp", F.coalesce("least", "first").alias("component_id")), "names")
-    return rows.join(names, "fp").select(
+    return materialize(uniq.join(moved, uniq.fp == moved.node, "left").select("fp", F.coalesce("least", "first").alias("component_id")), "names")
+
+
+def group_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(id, fingerprint, component_id) for every row; component_id is the least id reachable."""
+    rows = materialize(fingerprints(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t")), "__t", ["__id"]), "fingerprints")
+    return rows.join(_components(rows), "fp").select(
         F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of each group: the one with the least doc_id. A row without doc_id stays if nothing else is in its group."""
-    columns = docs.columns
-    groups = materialize(group_documents(docs), "groups")
-    kept = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi").select(*columns)
-    repeated = groups.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return out if repeated.isEmpty() else out.dropDuplicates(["doc_id"])
+def _numbered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """Batches of one split each with their rows' numbers in the split."""
+    at, n = None, 0
+    for split, batch in by_split(batches, column):
+        if split != at:
+            at, n = split, 0
+        yield split, batch, np.arange(n, n + len(batch))
+        n += len(batch)
+
+
+def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """One row of each group, all columns unchanged: the one with the least id, the first in the input on ties.
+
+    Which rows stay travels to the input splits as row numbers, so texts are not shuffled
+    and rows with equal or null ids are told apart.
+    """
+    source = with_split(docs)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, batch, rows in _numbered(batches, 2):
+            fps = np.fromiter((fold(shingle_hashes(t)) for t in batch.column(1).to_pylist()), np.uint64, len(batch))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows), pa.array(fps.view(np.int64))], names=["__id", "__split", "__row", "fp"])
+
+    schema = T.StructType([T.StructField("__id", docs.schema[id_col].dataType), *T._parse_datatype_string("__split long, __row long, fp long").fields])
+    rows = materialize(source.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), "__split").mapInArrow(number, schema), "fingerprints")
+    joined = rows.join(_components(rows), "fp")
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__split", "__row"))
+    # a group is named by its component; groups of null ids only are named by their fingerprint
+    kept = joined.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__own")).agg(first.alias("x"))
+    uri = write_side(kept.select(F.col("x.__split").alias("__split"), F.col("x.__row").alias("row")), "kept")
+    names, width = docs.columns, len(docs.columns)
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, stay = None, np.zeros(0, np.int64)
+        for split, batch, numbers in _numbered(batches, width):
+            if split != at:
+                side = read_side(uri, split)
+                at, stay = split, side.column("row").to_numpy() if side is not None else np.zeros(0, np.int64)
+            out = batch.filter(pa.array(np.isin(numbers, stay)))
+            yield pa.RecordBatch.from_arrays(out.columns[:width], names=names)
+
+    return source.mapInArrow(sift, docs.schema)
