@@ -2,7 +2,7 @@
 
 The tokenizers library is called on distinct chunks only: a text is cut before each
 single space, which is a pre-token boundary of the supported vocabularies, and a
-worker keeps the ids of the chunks it has met (at most ``KEPT`` of them). A text with
+worker keeps the ids of chunks it has met (two generations of ``KEPT`` at most). A text with
 a chunk for which the cut isn't safe (it starts with further white space) is encoded
 whole.
 """
@@ -10,18 +10,20 @@ whole.
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain
 
 import numpy as np
 
-KEPT = 800_000
+from strandline.llm.shared import held
+
+KEPT = 300_000
 #: Punctuation that is a pre-token of its own after a letter or digit (the apostrophe may start a contraction).
 _TAIL = ".,;:!?#$%&*|"
 
 
-def _closed(c: str) -> bool:
-    """A letter or digit that stays one under the vocabularies' normalisation."""
-    return c.isalnum() and ord(c) < 0x250 and c != "\u0130"
+#: Letters of words that are one pre-token and stay letters under the vocabularies' normalisation.
+_PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
 
 
 def vocabulary(name: str) -> str:
@@ -42,9 +44,16 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(vocabulary(name))
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        pieces = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.by_end = any(p.endswith("</w>") for p in pieces)  # pieces mark the ends of words, or else their starts
+        self.edge = np.zeros(max(pieces.values()) + 1, bool)
+        self.edge[[i for p, i in pieces.items() if (p.endswith("</w>") if self.by_end else p.startswith("\u0120"))]] = True
         self.known: dict[str, bytes] = {}  # chunk without its leading space -> ids of the chunk with it
-        self.unsafe: set[str] = set()
+        self.old: dict[str, bytes] = {}  # the generation before
         self.tails: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}  # words with nothing before them on their line
+        self.unsafe: set[str] = set()
+        self.line_end = self._ids(["\n"])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -52,20 +61,52 @@ class ChunkEncoder:
         flat = np.fromiter(chain.from_iterable(lists), self.dtype).tobytes()
         return [flat[i:j] for i, j in zip([0, *ends], ends)]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of plain words after a space: many words a call, cut apart where pieces mark a word's edge."""
+        texts = [" " + " ".join(words[k : k + 500]) for k in range(0, len(words), 500)]
+        lists = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(lists), self.dtype)
+        at = np.nonzero(self.edge[flat])[0]
+        if len(at) != len(words):  # a vocabulary without such marks
+            return self._ids([" " + w for w in words])
+        bounds = np.append(0, at + 1) if self.by_end else np.append(at, len(flat))
+        bounds, data = (bounds * self.dtype.itemsize).tolist(), flat.tobytes()
+        return [data[i:j] for i, j in zip(bounds, bounds[1:])]
+
     def _learn(self, new: list[str]) -> None:
         """Add chunks; one that is a known word and trailing punctuation is put together from the two."""
-        known, tails, whole, pairs = self.known, self.tails, set(), []
+        known, old, tails = self.known, self.old, self.tails
+        plain, other, pairs, lines = set(), [], [], []
         for p in new:
+            if p in old:
+                known[p] = old[p]
+                continue
+            if "\n" in p:
+                parts = p.split("\n")
+                if all(x and not (x[0].isspace() or x[-1].isspace()) for x in parts):
+                    lines.append((p, parts))
+                    p = parts[0]
+                    if p in known:
+                        continue
+                    if p in old:
+                        known[p] = old[p]
+                        continue
             word = p.rstrip(_TAIL)
-            if len(word) == len(p) or not word or not _closed(word[-1]):
-                whole.add(p)
+            if _PLAIN(word):
+                if len(word) < len(p):
+                    pairs.append((p, word, p[len(word) :]))
+                if word in old:
+                    known[word] = old[word]
+                elif word not in known:
+                    plain.add(word)
             else:
-                pairs.append((p, word, p[len(word) :]))
-                if word not in known:
-                    whole.add(word)
-        fresh = list(whole)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
+                other.append(p)
+        words = list(plain)
+        for at in range(0, len(words), 20_000):
+            part = words[at : at + 20_000]
+            known.update(zip(part, self._word_ids(part)))
+        for at in range(0, len(other), 20_000):
+            part = other[at : at + 20_000]
             known.update(zip(part, self._ids([" " + p for p in part])))
         ends = list({t for _, _, t in pairs if t not in tails})
         if len(tails) + len(ends) > KEPT // 8:
@@ -73,38 +114,48 @@ class ChunkEncoder:
             ends = list({t for _, _, t in pairs})
         tails.update(zip(ends, self._ids(ends) if ends else []))
         known.update((p, known[w] + tails[t]) for p, w, t in pairs)
+        if lines:
+            starts, end = self._started(list({x for _, parts in lines for x in parts[1:]})), self.line_end
+            known.update((p, known[parts[0]] + b"".join(end + starts[x] for x in parts[1:])) for p, parts in lines)
+
+    def _started(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that no space goes before."""
+        new = [w for w in words if w not in self.starts]
+        if len(self.starts) + len(new) > KEPT // 8:
+            self.starts.clear()
+            new = list(set(words))
+        if new:
+            self.starts.update(zip(new, self._ids(new)))
+        return self.starts
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``dtype``; null is the empty text."""
         split = [(t or "").split(" ") for t in texts]
-        first = self._ids([parts[0] for parts in split])
+        heads = [parts[0] for parts in split]
         wanted: set[str] = set()
         for parts in split:
-            wanted.update(parts[1:])
+            del parts[0]
+            wanted.update(parts)
         new = list(wanted.difference(self.known))
         if len(self.known) + len(new) > KEPT:
-            self.known.clear(), self.unsafe.clear()
+            self.old, self.known, self.unsafe = self.known, {}, set()
             new = list(wanted)
         self._learn(new)
-        self.unsafe.update(p for p in new if not p or p[0].isspace())
-        get, unsafe = self.known.__getitem__, self.unsafe
+        # what starts with white space after the space
+        self.unsafe.update(p for p in new if p < "!" or (p > "~" and p[0].isspace()))
+        get, unsafe, starts = self.known.__getitem__, self.unsafe, self._started(heads)
         out = []
         for i, parts in enumerate(split):
-            rest = parts[1:]
-            if unsafe and not unsafe.isdisjoint(rest):
+            if unsafe and not unsafe.isdisjoint(parts):
                 out.append(self._ids([texts[i]])[0])
             else:
-                out.append(b"".join([first[i], *map(get, rest)]))
+                out.append(starts[heads[i]] + b"".join(map(get, parts)))
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def encoder(name: str) -> ChunkEncoder:
-    if name not in _ENCODERS:
-        _ENCODERS[name] = ChunkEncoder(name)
-    return _ENCODERS[name]
+    """This worker's encoder of a vocabulary."""
+    return held(("tokens", name), lambda: ChunkEncoder(name))
 
 
 def wide(ids: bytes, dtype: np.dtype) -> bytes:
