@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -129,18 +131,26 @@ def greedy_match(left: DataFrame, right: DataFrame, keys: list[str], order: str,
     kinds = {f.name: f.dataType for f in left.schema.fields}
     schema = T.StructType([*[T.StructField(k, kinds[k]) for k in keys], T.StructField("l", kinds[order]), T.StructField("r", kinds[order]), T.StructField("overlap", T.LongType())])
 
-    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken: set = set()
-        rows = []
-        for _, g in pdf.sort_values(["l", "overlap", "r"], ascending=[True, False, True]).groupby("l", sort=True):
-            for row in g.itertuples(index=False):
-                if row.r not in taken:
-                    taken.add(row.r)
+    n = len(keys)
+
+    def pick(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, current, done, taken = None, None, False, set()
+        for pdf in it:
+            rows = []
+            for row in pdf.itertuples(index=False, name=None):
+                if row[:n] != key:
+                    key, current, taken = row[:n], None, set()
+                if row[n] != current:
+                    current, done = row[n], False
+                if not done and row[n + 1] not in taken:
+                    taken.add(row[n + 1])
+                    done = True
                     rows.append(row)
-                    break
-        return pd.DataFrame(rows, columns=pdf.columns)
+            yield pd.DataFrame(rows, columns=pdf.columns)
 
-    matched = candidates.withColumn("overlap", F.col("overlap").cast("bigint")).groupBy(*keys).applyInPandas(pick, schema)
+    # one ordered pass a partition; only the taken calls of one key are held
+    ordered = candidates.withColumn("overlap", F.col("overlap").cast("bigint")).repartition(*keys).sortWithinPartitions(*keys, "l", F.desc("overlap"), "r")
+    matched = ordered.mapInPandas(pick, schema)
     a = left.select(*keys, F.col(order).alias("l")).join(matched, [*keys, "l"], "left")
     status = F.when(F.col("r").isNotNull(), "both").otherwise("left_only")
     alone = right.select(*keys, F.col(order).alias("r")).join(matched.select(*keys, "r"), [*keys, "r"], "left_anti")

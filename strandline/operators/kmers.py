@@ -13,8 +13,10 @@ CAP = 8192
 def count_kmers(reads: DataFrame, seq: str, k: int, keys: list[str] | None = None, canonical: bool = True, least: int = 2, cap: int | None = CAP) -> DataFrame:
     """Counts of k-mers (A25): canonical ones are the smaller of a k-mer and its reverse complement; rare ones go, counts stop at the cap."""
     keys = keys or []
-    at = F.explode(F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>")))
-    kmers = reads.select(*keys, F.col(seq).alias("__s"), at.alias("__i")).select(*keys, F.substring("__s", F.col("__i"), F.lit(k)).alias("kmer"))
+    # one regular-expression pass; texts beyond the basic plane, where it would stop inside a character, are cut by position
+    steps = F.when(F.length(seq) >= k, F.sequence(F.lit(1), F.length(seq) - k + 1)).otherwise(F.array().cast("array<int>"))
+    cut = F.when(F.col(seq).rlike("[\\x{10000}-\\x{10ffff}]"), F.transform(steps, lambda i: F.substring(F.col(seq), i, F.lit(k)))).otherwise(F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1)))
+    kmers = reads.select(*keys, F.explode(cut).alias("kmer"))
     if canonical:
         kmers = kmers.where(F.col("kmer").rlike("^[ACGT]+$")).withColumn("kmer", F.least("kmer", reverse_complement(F.col("kmer"))))
     out = kmers.groupBy(*keys, "kmer").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
