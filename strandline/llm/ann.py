@@ -1,20 +1,25 @@
 """Approximate nearest neighbours: an NN-descent graph and greedy search on it.
 
 Index. Equal vectors collapse into one node (its id is the least of theirs). The first
-lists come from blocks of random-hyperplane orderings; ``ROUNDS`` rounds of NN-descent
-follow, each a set of Spark joins: a node gets the vectors of a sample of its
+lists come from blocks of random-hyperplane orderings; rounds of NN-descent follow until
+one changes at most ``SETTLED`` of all list entries, each a set of Spark joins: a node gets the vectors of a sample of its
 neighbours and reverse neighbours (fresh edges first), and any two of them that are
 closer than one's worst list entry propose each other. Proposals are reduced to the
-least ``NEIGHBOURS`` a node before and after the shuffle. The search graph has the lists
-and up to ``REVERSE`` nearest reverse edges of each node; every node keeps its own list,
-so the bound on reverse edges leaves no row out.
+least ``NEIGHBOURS`` a node before and after the shuffle. The search graph has the lists,
+up to ``REVERSE`` nearest reverse edges of each node, and for each node a tree of bounded
+degree over those that have it as their nearest, so a node and its nearest reach each
+other. The components of edges that go both ways get one member each, the least, and
+these are linked in the same manner, over again until one component is left: every
+node is reached from every other.
 
 Search. Queries are handled in blocks whose vectors have a bounded size. Each round
 expands the ``EXPAND`` nearest unexpanded members of each query's beam of ``BEAM`` by a
 join with the graph, measures the new neighbours in a join with the vectors (only ids
 and distances are shuffled to the queries) and merges; it ends when every member of
-every beam is expanded. Start points are ``PIVOTS`` nodes chosen by hash. Distances are
-Euclidean in double precision.
+every beam is expanded. Start points are the query's own node, ``PIVOTS`` nodes (or twice the
+square root of their number, if that is more) chosen by hash, and the members that
+stand for the components once there are at most as many. Distances are Euclidean in
+double precision.
 
 Edge cases. Null, zero and empty vectors, vectors with a null or non-finite component,
 and vectors not of the most frequent length (the greater on ties) take no part. Copies
@@ -32,10 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import materialize
+from strandline.llm.components import connected_components
+from strandline.llm.shared import materialize, remove
 
 NEIGHBOURS, REVERSE = 20, 20
-TREES, TREE_BLOCK, ROUNDS, SAMPLE = 8, 512, 3, 10
+TREES, TREE_BLOCK, SETTLED, SAMPLE = 8, 512, 0.001, 10
 BEAM, EXPAND, PIVOTS = 600, 128, 512
 QUERY_BYTES = 8_000_000
 
@@ -78,11 +84,17 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield rest
 
 
+def _forget(df: DataFrame) -> None:
+    """Delete the files of a materialized table that nothing reads any more."""
+    if files := df.inputFiles():
+        remove(df.sparkSession, files[0].rsplit("/", 1)[0])
+
+
 class NeighbourGraph:
-    """nodes (node, vec, ids: up to ``top`` + 1 least ids), edges (node, nbrs)."""
+    """nodes (node, vec, ids: up to ``top`` + 1 least ids), graph (node, nbrs), starts (node)."""
 
-    def __init__(self, nodes: DataFrame, graph: DataFrame, dtype: np.dtype, width: int, rows: DataFrame):
-        self.nodes, self.graph, self.dtype, self.width, self.rows = nodes, graph, dtype, width, rows
+    def __init__(self, nodes: DataFrame, graph: DataFrame, dtype: np.dtype, width: int, rows: DataFrame, starts: DataFrame):
+        self.nodes, self.graph, self.dtype, self.width, self.rows, self.starts = nodes, graph, dtype, width, rows, starts
 
     @classmethod
     def build(cls, table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", top: int = 10, seed: int = 11) -> NeighbourGraph:
@@ -95,13 +107,51 @@ class NeighbourGraph:
             "nodes",
         )
         vectors = nodes.select("node", "vec")
-        edges = materialize(cls._first_lists(vectors, nodes.count(), dtype, width, seed), "edges")
-        for turn in range(ROUNDS):
-            edges = materialize(cls._descend(edges, vectors, turn, dtype, width), "edges")
+        all_nodes = count = nodes.count()
+        pivots = max(PIVOTS, int(2 * count**0.5))
+        starts = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(pivots)
+        links, part, covered = cls._links(vectors, count, dtype, width, seed), vectors, False
+        both = links
+        while count > 1 and all_nodes > pivots:  # else every node is a start point
+            heads = materialize(cls._heads(links), "heads")
+            count = heads.count()
+            if count <= pivots and not covered:
+                starts, covered = starts.unionByName(heads), True
+            if count > 1:
+                part = materialize(part.join(heads, "node"), "heads")
+                links = cls._links(part, count, dtype, width, seed)
+                both = both.unionByName(links)
+        graph = materialize(both.select("a", "b").distinct().groupBy("a").agg(F.collect_list("b").alias("nbrs")).withColumnRenamed("a", "node"), "graph")
+        return cls(nodes, graph, dtype, width, rows, materialize(starts.distinct(), "starts"))
+
+    @classmethod
+    def _links(cls, vectors: DataFrame, count: int, dtype: np.dtype, width: int, seed: int) -> DataFrame:
+        """(a, b, sure): directed edges of the search graph; if ``sure``, other edges lead back from b to a."""
+        edges = materialize(cls._first_lists(vectors, count, dtype, width, seed), "edges")
+        turn, new = 0, count
+        while new > SETTLED * NEIGHBOURS * count:
+            old, edges = edges, materialize(cls._descend(edges, vectors, turn, dtype, width), "edges")
+            _forget(old)
+            turn, new = turn + 1, edges.where("fresh").count()
         back = edges.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).where(F.col("r") <= REVERSE)
-        both = edges.select("a", "b").unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-        graph = materialize(both.groupBy("a").agg(F.collect_list("b").alias("nbrs")).withColumnRenamed("a", "node"), "graph")
-        return cls(nodes, graph, dtype, width, rows)
+        first = edges.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where("r = 1")
+        # those with the same nearest are ranked by distance; rank r hangs below rank (r - 1) / REVERSE, the first ranks below the nearest itself
+        first = materialize(first.select("a", "b", F.row_number().over(Window.partitionBy("b").orderBy("d", "a")).cast("long").alias("r")), "nearest")
+        top = first.where(F.col("r") <= REVERSE).select(F.col("b").alias("a"), F.col("a").alias("b"))
+        upper = first.select(F.col("a").alias("above"), "b", F.col("r").alias("up"))
+        below = first.where(F.col("r") > REVERSE).withColumn("up", F.expr(f"(r - 1) div {REVERSE}")).join(upper, ["b", "up"]).select(F.col("above").alias("a"), F.col("a").alias("b"))
+        plain = edges.select("a", "b").unionByName(back.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(top).unionByName(below).distinct()
+        ways = plain.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("from"))
+        known = ways.join(first.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct().withColumn("near", F.lit(True)), ["x", "y"], "left")
+        one = F.struct(F.col("from").alias("a"), F.when(F.col("from") == F.col("x"), F.col("y")).otherwise(F.col("x")).alias("b"))
+        two = F.array(F.struct(F.col("x").alias("a"), F.col("y").alias("b")), F.struct(F.col("y").alias("a"), F.col("x").alias("b")))
+        sure = ((F.col("n") == 2) | F.coalesce("near", F.lit(False))).alias("sure")
+        return materialize(known.select(F.explode(F.when(F.col("n") == 2, two).otherwise(F.array(one))).alias("e"), sure).select("e.a", "e.b", "sure"), "links")
+
+    @staticmethod
+    def _heads(links: DataFrame) -> DataFrame:
+        """(node): the least node of each set whose members reach each other."""
+        return connected_components(links.where("sure").select("a", "b")).select(F.col("root").alias("node")).distinct()
 
     @staticmethod
     def _first_lists(vectors: DataFrame, count: int, dtype: np.dtype, width: int, seed: int) -> DataFrame:
@@ -169,7 +219,7 @@ class NeighbourGraph:
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in _runs(batches):
                 at, m, worst_of = (part.column(k).to_numpy() for k in range(3))
-                x = _matrix(part.column(3).combine_chunks(), dtype, width).astype(np.float32)
+                x = _matrix(part.column(3).combine_chunks(), dtype, width).astype(np.float64)  # single precision loses what parts near vectors far from the origin
                 begin = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
                 size = np.diff(np.append(begin, len(at)))
                 for k in np.unique(size):
@@ -181,7 +231,7 @@ class NeighbourGraph:
                         rows = some[:, None] + np.arange(k)
                         v = x[rows]
                         sq = np.einsum("gid,gid->gi", v, v)
-                        d = np.maximum(sq[:, :, None] + sq[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1)), 0).astype(np.float64)
+                        d = np.maximum(sq[:, :, None] + sq[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1)), 0)
                         who = m[rows]
                         good = (d < worst_of[rows][:, :, None]) & (who[:, :, None] != who[:, None, :])
                         g, i, j = np.nonzero(good)
@@ -197,7 +247,7 @@ class NeighbourGraph:
         wanted = materialize(asked.select("q").distinct(), "wanted")
         per = max(1, QUERY_BYTES // (width * dtype.itemsize))
         blocks = max(1, -(-wanted.count() // per))
-        pivots = self.nodes.select("node", "vec").orderBy(F.xxhash64("node"), "node").limit(PIVOTS).collect()  # at most PIVOTS rows
+        pivots = self.nodes.join(self.starts, "node").select("node", "vec").collect()  # at most twice PIVOTS or 4 roots of the table
         found = None
         for k in range(blocks):
             part = wanted.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == k)
@@ -232,9 +282,9 @@ class NeighbourGraph:
             p = p.astype(np.float64)
             for batch in batches:
                 for at in batch.column(0).to_pylist():
-                    d = np.sqrt(((p - x[at].astype(np.float64)) ** 2).sum(1))
+                    d = np.append(np.sqrt(((p - x[at].astype(np.float64)) ** 2).sum(1)), 0.0)  # the last is the query's own node
                     n = len(d)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, ids[at])), pa.array(pivot_ids), pa.array(d), pa.array(np.zeros(n, np.int32))], names=["q", "node", "d", "s"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, ids[at])), pa.array(np.append(pivot_ids, ids[at])), pa.array(d), pa.array(np.zeros(n, np.int32))], names=["q", "node", "d", "s"])
 
         def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, x, _, _ = matrices()
@@ -274,7 +324,8 @@ class NeighbourGraph:
             reached = ahead.join(self.graph, "node").select("q", F.explode("nbrs").alias("node")).repartition("node").distinct()
             measured = reached.join(self.nodes.select("node", "vec"), "node").select("q", "node", "vec").mapInArrow(measure, empty)
             done = state.withColumn("s", F.when(F.col("s") > 0, F.lit(2)).otherwise(F.col("s")).cast("int"))
-            state = merged(done.unionByName(measured))
+            old, state = state, merged(done.unionByName(measured))
+            _forget(old)
 
 
 def _least(edges: DataFrame) -> DataFrame:

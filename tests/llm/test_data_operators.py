@@ -167,6 +167,28 @@ def test_neighbours_recall(spark, monkeypatch):
     assert len(found) == 20 and recall >= 0.9
 
 
+def test_neighbours_in_far_clusters(spark, monkeypatch):
+    """More clusters than start points, each larger than a list: all ten neighbours are found, and every node is reached from any other."""
+    monkeypatch.setattr(ann, "PIVOTS", 8)
+    monkeypatch.setattr(ann, "BEAM", 128)
+    rng = np.random.default_rng(5)
+    x = np.repeat(rng.normal(size=(100, 12)) * 100, 25, axis=0) + rng.normal(size=(2500, 12)) * 0.01
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    built = ann.NeighbourGraph.build(df)
+    found: dict = {}
+    for r in built.search(queries="id % 50 = 0").collect():
+        found.setdefault(r["query_id"], set()).add(r["id"])
+    assert len(found) == 50
+    assert np.mean([len(found[q] & set(brute(np.arange(2500), x, q, 10)[0])) / 10 for q in found]) >= 0.99
+    ahead = {r["node"]: r["nbrs"] for r in built.graph.collect()}
+    seen, todo = {1234}, [1234]
+    while todo:
+        new = set(ahead[todo.pop()]) - seen
+        seen |= new
+        todo += new
+    assert len(seen) == 2500
+
+
 def test_neighbours_few_or_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted((r["rank"], r["id"]) for r in ann.NeighbourGraph.build(df).search(queries="id = 0").collect()) == [(1, 2), (2, 1)]
