@@ -11,8 +11,12 @@ first and expands each distinct word into n-grams once.
   arrays (n-gram -> discounted probability, context -> back-off weight), written
   to the shared folder. A worker puts a direct index of slots before them.
 * The prediction is the language of lowest cross-entropy per character. A
-  document is rejected if its cross-entropy is far above what learnable documents
-  of the same language and length show, or if it has no letter.
+  document is rejected if its cross-entropy is far above, or its distance to the
+  second language far below, what learnable documents with that language show, or
+  if it has no letter. "Far" is by median and median absolute deviation over the
+  document's length class and its two neighbours, over the whole language where
+  these have under ``LEAST_ROWS`` documents. Only documents whose known language
+  is the predicted one count, so what has no language never moves a limit.
 
 Edge cases. Null or letter-free text: ``und``, score 0, rejected. Ties: the
 language that sorts first. No learnable row at all: every row is ``und``. Repeated
@@ -41,8 +45,8 @@ HASH_BITS = 21
 FOLDS = 5
 #: Distinct words that a task keeps before it folds them into n-gram counts.
 WORDS_KEPT = 250_000
-#: Allowed distance from the mean cross-entropy, in standard deviations, and the least deviation assumed (nats).
-REJECT_SIGMAS, LEAST_SIGMA = 6.0, 0.15
+#: Allowed distance from the median, in (robust) standard deviations, the least deviation assumed (nats a character), and the documents a length class needs.
+REJECT_SIGMAS, LEAST_SIGMA, LEAST_ROWS = 6.0, 0.15, 20
 
 _START, _END = "\x02", "\x03"
 _COUNTS = "lang string, ord int, slot int, ctx int, suf int, n long"
@@ -237,12 +241,12 @@ class LanguageIdentifier:
         return cls(spark, uri)
 
     def score(self, docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-        """``keep`` columns plus lang_pred, score, xent (nats a character), n_letters."""
+        """``keep`` columns plus lang_pred, score, xent and margin to the second language (nats a character), n_letters."""
         keep = docs.columns if keep is None else keep
-        added = ["lang_pred", "score", "xent", "n_letters"]
+        added = ["lang_pred", "score", "xent", "margin", "n_letters"]
         keep = [c for c in keep if c not in added]
         source = docs.select(*keep, F.col(text_col).alias("__text"))
-        schema = T.StructType(source.select(*keep).schema.fields + T._parse_datatype_string("lang_pred string, score double, xent double, n_letters long").fields)
+        schema = T.StructType(source.select(*keep).schema.fields + T._parse_datatype_string("lang_pred string, score double, xent double, margin double, n_letters long").fields)
         uri, width = self.uri, len(keep)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,6 +259,7 @@ class LanguageIdentifier:
                     known, total = (n > 0) & bool(scorer.langs), sums[:, :-1]
                     best = total.argmin(1)
                     low = total.min(1)
+                    second = np.partition(total, 1, axis=1)[:, 1] if total.shape[1] > 1 else low
                     odds = 1.0 / np.exp(np.clip(low[:, None] - total, -700, 0)).sum(1)
                     names = [scorer.langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
                     yield pa.RecordBatch.from_arrays(
@@ -263,6 +268,7 @@ class LanguageIdentifier:
                             pa.array(names, pa.string()),
                             pa.array(np.where(known, odds, 0.0)),
                             pa.array(np.where(known, low / np.maximum(n, 1), 0.0), mask=~known),
+                            pa.array((second - low) / np.maximum(n, 1), mask=~known | (total.shape[1] < 2)),
                             pa.array(n.astype(np.int64)),
                         ],
                         names=[*keep, *added],
@@ -270,23 +276,36 @@ class LanguageIdentifier:
 
         return source.mapInArrow(run, schema)
 
-    def calibrate(self, scored: DataFrame) -> LanguageIdentifier:
-        """Learn how far the cross-entropy of ordinary documents strays, by language and length class."""
+    def calibrate(self, scored: DataFrame, lang_col: str = "lang") -> LanguageIdentifier:
+        """Learn from rows whose known language is the predicted one how far ordinary documents stray, by language and length class."""
         klass = F.floor(F.log2(F.col("n_letters"))).cast("int")
-        self.limits = (
-            scored.where("lang_pred != 'und'").groupBy(F.col("lang_pred").alias("__lang"), klass.alias("__class"))
-            .agg((F.avg("xent") + REJECT_SIGMAS * F.greatest(F.coalesce(F.stddev("xent"), F.lit(0.0)), F.lit(LEAST_SIGMA))).alias("__limit"))
-        )
+        own = scored.where(F.col(lang_col) == F.col("lang_pred")).where("n_letters > 0").select(F.col("lang_pred").alias("__lang"), "xent", "margin", klass.alias("c"))
+        # a row counts for its class and the two beside it, and for its language as a whole (null)
+        near = own.select("__lang", "xent", "margin", F.explode(F.array(F.col("c") - 1, F.col("c"), F.col("c") + 1, F.lit(None).cast("int"))).alias("__class"))
+        middle = lambda x: F.percentile_approx(x, 0.5, 1000)
+        medians = near.groupBy("__lang", "__class").agg(middle("xent").alias("x"), middle("margin").alias("m"), F.count(F.lit(1)).alias("n"))
+        medians = materialize(medians.where(F.col("__class").isNull() | (F.col("n") >= LEAST_ROWS)), "langid-medians")
+        same = (near["__lang"] == medians["__lang"]) & near["__class"].eqNullSafe(medians["__class"])
+        apart = near.join(F.broadcast(medians), same).select(medians["__lang"], medians["__class"], "x", "m", F.abs(F.col("xent") - F.col("x")).alias("dx"), F.abs(F.col("margin") - F.col("m")).alias("dm"))
+        stray = lambda d: REJECT_SIGMAS * F.greatest(1.4826 * middle(d), F.lit(LEAST_SIGMA))
+        limits = apart.groupBy("__lang", "__class", "x", "m").agg(stray("dx").alias("dx"), stray("dm").alias("dm"))
+        self.limits = materialize(limits.select("__lang", "__class", (F.col("x") + F.col("dx")).alias("__limit"), (F.col("m") - F.col("dm")).alias("__least")), "langid-limits")
         return self
 
     def decide(self, scored: DataFrame) -> DataFrame:
-        """Adds ``rejected``; the limits are one row for each language and length class (under 64 a language), so they are broadcast."""
+        """Adds ``rejected``; the limits are one row for each language and length class (under 64 a language), so they are broadcast.
+
+        A language that none of its own documents is taken for has no limit, and its predictions are rejected.
+        """
         if self.limits is None:
             raise ValueError("calibrate() comes first")
         klass = F.floor(F.log2(F.greatest("n_letters", F.lit(1)))).cast("int")
-        joined = scored.join(F.broadcast(self.limits), (F.col("lang_pred") == F.col("__lang")) & (klass == F.col("__class")), "left")
-        rejected = (F.col("lang_pred") == "und") | F.coalesce(F.col("xent") > F.col("__limit"), F.lit(False))
-        return joined.withColumn("rejected", rejected).drop("__lang", "__class", "__limit")
+        whole = self.limits.where("__class is null").select(F.col("__lang").alias("__of"), F.col("__limit").alias("__limit_all"), F.col("__least").alias("__least_all"))
+        joined = scored.join(F.broadcast(self.limits.where("__class is not null")), (F.col("lang_pred") == F.col("__lang")) & (klass == F.col("__class")), "left")
+        joined = joined.join(F.broadcast(whole), F.col("lang_pred") == F.col("__of"), "left")
+        strange = F.coalesce(F.col("xent") > F.coalesce("__limit", "__limit_all"), F.lit(True))
+        unsure = F.coalesce(F.col("margin") < F.coalesce("__least", "__least_all"), F.lit(False))
+        return joined.withColumn("rejected", (F.col("lang_pred") == "und") | strange | unsure).drop("__lang", "__class", "__limit", "__least", "__of", "__limit_all", "__least_all")
 
 
 #: Documents of fold 0 are held out.
@@ -297,7 +316,7 @@ LEARNABLE = f"doc_id is not null and not ({HELD_OUT})"
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score, xent, n_letters, rejected for every row of ``docs``."""
     model = LanguageIdentifier.fit(docs, learn=LEARNABLE)
-    scored = materialize(model.score(docs, keep=["doc_id"]), "langid-scores")
+    scored = materialize(model.score(docs, keep=["doc_id", "lang"]), "langid-scores")
     model.calibrate(scored.where(LEARNABLE))
     return model.decide(scored).selectExpr("doc_id", f"{HELD_OUT} as held_out", "lang_pred", "score", "xent", "n_letters", "rejected")
 
@@ -306,6 +325,6 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns unchanged; ``lang`` becomes the predicted language where it was null."""
     columns = docs.columns
     model = LanguageIdentifier.fit(docs, learn=LEARNABLE)
-    model.calibrate(materialize(model.score(docs, keep=["doc_id"]), "langid-scores").where(LEARNABLE))
+    model.calibrate(materialize(model.score(docs, keep=["doc_id", "lang"]), "langid-scores").where(LEARNABLE))
     kept = model.decide(model.score(docs)).where(~F.col("rejected"))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)

@@ -218,6 +218,19 @@ def test_language_id_held_out_accuracy_and_edges(spark):
     assert kept.columns == odd.columns and not {10_000_001, 10_000_002} & {r["doc_id"] for r in kept.collect()}
 
 
+def test_language_id_rejects_a_third_of_rows_and_a_single_long_one(spark):
+    """Rows of a language nobody labels don't move the limits, whatever their share; a rare length has its language's limit."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("lang is not null and n_chars between 100 and 4000").select("doc_id", "text", "lang")
+    n = docs.count()
+    rng = random.Random(3)
+    words = ["".join(rng.choices("qxzjwkvyh", k=rng.randint(3, 9))) for _ in range(300)]
+    foreign = [(2_000_000 + i, " ".join(rng.choices(words, k=rng.randint(30, 300))), None) for i in range(n // 2)]
+    foreign.append((3_000_000, " ".join(rng.choices(words, k=60_000)), None))
+    got = {r["doc_id"]: r["rejected"] for r in langid.identify(docs.unionByName(spark.createDataFrame(foreign, "doc_id long, text string, lang string"))).collect()}
+    assert got[3_000_000] and all(got[i] for i, _, _ in foreign)
+    assert sum(v for k, v in got.items() if k < 2_000_000) <= 0.02 * n
+
+
 def test_language_id_without_anything_to_learn(spark):
     df = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in langid.identify(df).collect()] == ["und", "und"]
