@@ -2,10 +2,11 @@
 
 A document is contaminated by an item if some stretch of its words is within
 ``floor((1 - SIMILARITY) * n)`` word edits of the item's ``n`` words (items of under
-six words must occur exactly; items of under ``LEAST_WORDS`` words never match). Words
-are lower-cased runs of anything but ASCII white space, ASCII punctuation and control
-characters.
+six words must occur exactly). Words are lower-cased runs of anything but ASCII white
+space, ASCII punctuation and control characters; in scripts written without spaces
+each code point is a word, and their punctuation parts words too.
 
+0. Items of one or two words are looked up as they are.
 1. Anchors. A stretch within k edits of an n-word item shares at least n - 2 - 3k of
    its word trigrams, so documents below that count are passed over without loss.
 2. Item-sized windows on the anchors' diagonals and the items are embedded by
@@ -18,7 +19,8 @@ characters.
 The item set is handled in blocks of bounded size (``BLOCK_ITEMS``, ``BLOCK_BYTES``), so
 any number of items works with bounded worker memory; documents are never shuffled.
 
-Edge cases. Null and empty texts match nothing; null and empty items match nothing.
+Edge cases. Null and empty texts match nothing; null and empty items match nothing. An
+item with a null id is an item like any other.
 Repeated document rows are each reported; repeated items are reported under each id.
 An empty table on either side gives no match.
 """
@@ -26,6 +28,7 @@ An empty table on either side gives no match.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -38,16 +41,20 @@ from pyspark.sql import types as T
 
 from strandline.llm.shared import held
 
-SIMILARITY, LEAST_WORDS, GRAM = 0.8, 5, 3
+SIMILARITY, LEAST_WORDS, GRAM = 0.8, 1, 3
 WALKS, BITS, RECALL = 8, 3, 0.999
 #: Share of a walk's positions assumed to differ at the least similarity (measured at most 0.6 on random edits).
 HAMMING_SHARE = 0.6
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 8_000_000
 _CHUNK = 256
 _SPACES = bytes(32 if b < 33 or b == 127 or (b < 127 and not chr(b).isalnum()) else b for b in range(256))
+#: Thai, Lao, Tibetan, Burmese, Khmer, kana, bopomofo and ideographs; before them the punctuation of these.
+_UNSPACED = re.compile("([\u3000-\u3004\u3008-\u3020\u3030\u303d\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65])|[\u0e00-\u109f\u1780-\u17ff\u3005-\u30ff\u3100-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
 
 
 def words_of(text: str | None) -> list[bytes]:
+    if text and not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(lambda m: " " if m[1] else f" {m[0]} ", text)
     return text.lower().encode("utf-8", "surrogatepass").translate(_SPACES).split() if text else []
 
 
@@ -116,6 +123,13 @@ class ItemIndex:
         order = np.argsort(code, kind="stable")
         self.item, self.offset = item[order], offset[order]
         self.codes, self.first, self.count = np.unique(code[order], return_index=True, return_counts=True)
+        self.short = []
+        for length in range(1, GRAM):
+            row = np.nonzero(self.n == length)[0]
+            if len(row):
+                code = self._codes(0, *(self.words[row, k] if k >= 0 else 0 for k in range(length - 2, length)))
+                order = np.argsort(code, kind="stable")
+                self.short.append((length, row[order], *np.unique(code[order], return_index=True, return_counts=True)))
         rng = np.random.default_rng(7)
         self.samples = rng.random((repeats(), WALKS, BITS))
 
@@ -155,6 +169,21 @@ class ItemIndex:
         doc, item, start = np.unique(np.stack([doc[keep], item[keep], start]), axis=1)
         return ids, begin, size, doc, item, start
 
+    def exact(self, ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(document, item) of the items too short for a trigram."""
+        for length, row, codes, first, count in self.short:
+            at = np.arange(max(0, len(ids) - length + 1))
+            doc = np.searchsorted(begin, at, side="right") - 1
+            keep = (at + length <= begin[doc] + size[doc]) & (ids[at] > 0) & (ids[at + length - 1] > 0)
+            at, doc = at[keep], doc[keep]
+            code = self._codes(0, *(ids[at + k] if k >= 0 else 0 for k in range(length - 2, length)))
+            where = np.searchsorted(codes, code).clip(max=len(codes) - 1)
+            hit = codes[where] == code
+            if hit.any():
+                for d, w in np.unique(np.stack([doc[hit], where[hit]]), axis=1).T.tolist():
+                    for r in row[first[w] : first[w] + count[w]].tolist():
+                        yield d, r
+
     @staticmethod
     def _cut(ids: np.ndarray, begin: np.ndarray, size: np.ndarray, start: np.ndarray, width: int, length: np.ndarray, pad: int) -> np.ndarray:
         place = start[:, None] + np.arange(width)
@@ -178,7 +207,7 @@ class ItemIndex:
     def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(position of the text, item id, words of the item, edits), best window of each pair."""
         ids, begin, size, doc, item, start = self.anchored([words_of(t) for t in texts])
-        best: dict[tuple[int, int], int] = {}
+        best: dict[tuple[int, int], int] = dict.fromkeys(self.exact(ids, begin, size), 0)
         for at in range(0, len(doc), 500):
             d, i, s = doc[at : at + 500], item[at : at + 500], start[at : at + 500]
             width = int(self.n[i].max())
@@ -198,7 +227,7 @@ class ItemIndex:
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
     """Items in blocks of bounded size, one block at a time on the driver."""
     block, held = [], 0
-    for row in items.select(F.col(id_col), F.col(text_col)).where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).toLocalIterator():
+    for row in items.select(F.col(id_col), F.col(text_col)).where(F.col(text_col).isNotNull()).toLocalIterator():
         block.append((row[0], row[1]))
         held += len(row[1])
         if len(block) >= BLOCK_ITEMS or held >= BLOCK_BYTES:
@@ -225,6 +254,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     source = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     fields = [T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("item_id", items.schema[item_id_col].dataType)]
     schema = T.StructType([*fields, *T._parse_datatype_string("item_words int, edits int, similarity double").fields])
+    kind = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}.get(fields[1].dataType.simpleString())
     result = spark.createDataFrame([], schema)
     for block in _blocks(items, item_id_col, item_text_col):
         shared = _Shared(spark.sparkContext.broadcast(block))
@@ -237,7 +267,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
                     if found := index.matches(part.column(1).to_pylist()):
                         row, item, n, edits = zip(*found)
                         columns = [
-                            part.column(0).take(pa.array(row)), pa.array(item, pa.int64()) if isinstance(item[0], int) else pa.array(item),
+                            part.column(0).take(pa.array(row)), pa.array(item, kind),
                             pa.array(n, pa.int32()), pa.array(edits, pa.int32()), pa.array([1 - e / w for e, w in zip(edits, n)]),
                         ]
                         yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())

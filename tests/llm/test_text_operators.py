@@ -149,6 +149,18 @@ def test_decontamination_blocks_and_stage(spark, monkeypatch):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_unspaced_and_unnamed_items(spark):
+    items = spark.createDataFrame(
+        [(1, "Zanzibar"), (2, "blue whale"), (3, "one two three"), (4, "我们的问题是这个城市有多少人口"), (5, "ประเทศไทยมีกี่จังหวัด"), (None, "the quick brown fox jumps over the lazy dog"), (6, "blue whale"), (7, "a b c d")],
+        "item_id long, text string",
+    )
+    texts = ["in zanzibar,", "Blue Whale", "whale blue", "zero one two three", "one two and three", "前文：我们的问题是，这个城市有多少人口？后文", "我们的城市", "ดูประเทศไทยมีกี่จังหวัดครับ", "So the quick brown fox jumps over the lazy dog.", "", None, "x a b c d", "blue", "whale"]
+    docs = frame(spark, texts)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(0, 1), (1, 2), (1, 6), (3, 3), (5, 4), (7, 5), (8, None), (11, 7)}
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()) == [2, 4, 6, 9, 10, 12, 13]
+
+
 # --- PII
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
