@@ -55,10 +55,10 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         task = TaskContext.get().partitionId() << _TASK_SHIFT
         end = end_id.to_bytes(4, "little")
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
+            for at in range(0, len(whole), 2000):
+                batch = whole.slice(at, 2000)
                 rows, start, length, tokens, sequence, ids = [], [], [], [], [], []
-                for r, raw in enumerate(enc.encode(batch.column(1).to_pylist())):
+                for r, raw in enumerate(enc.encode(batch.column(1))):
                     data = wide(raw, enc.dtype) + end
                     n = len(data) // 4
                     for s, k in pieces(n, longest):

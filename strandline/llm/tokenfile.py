@@ -52,9 +52,9 @@ def tokenized(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_
         enc = encoder(vocabulary)
         end = end_id.to_bytes(enc.dtype.itemsize, "little")
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                batch = whole.slice(at, 500)
-                ids = [raw + end for raw in enc.encode(batch.column(1).to_pylist())]
+            for at in range(0, len(whole), 2000):
+                batch = whole.slice(at, 2000)
+                ids = [raw + end for raw in enc.encode(batch.column(1))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return source.mapInArrow(run, "doc_id long, ids binary")

@@ -10,15 +10,13 @@ from tests.conftest import DATA
 
 from strandline.llm import ann, html, huffman, packing, tokenfile, tokens, warc
 
-WORDS = ["the", "a,", "Bc", "é.", "1", "23", "don't", "!", "...", "İ", "Σς", "日本", "😀", "x\ny", "\n", " ", "\t", "<|endoftext|>", "word###", "\x1c", " "]
+WORDS = ["the", "a,", "Bc", "é.", "1", "23", "don't", "!", "...", "İ", "Σς", "日本", "😀", "x\ny", "\n", " ", "\t", "<|endoftext|>", "<|startoftext|>", "a.\nB", "word###", "%%%", "\x1c", " "]
 
 
 def tokenizer(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokens.vocabulary(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokens.vocabulary(name))
 
 
 @pytest.mark.parametrize("name", [packing.VOCABULARY, tokenfile.VOCABULARY])
