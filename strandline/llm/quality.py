@@ -5,12 +5,12 @@ and punctuation kept, digits folded to 0. Counts come from all trusted documents
 ``quality`` = 1); lower orders are continuation counts; every order has three
 discounts from its counts of counts.
 
-Counts stay in tables sharded by n-gram. Each input split lists its different n-grams
-(distinct words are expanded once), the distinct ones of all splits get their
+Counts stay in tables sharded by n-gram. Each span of input rows lists its different n-grams
+(distinct words are expanded once), the distinct ones of all spans get their
 probabilities by shuffle joins with the count shards, order by order, and go back to the
-splits that asked as one side file a split, which a scoring task loads. So a worker's
-memory is bounded by its own split and texts are never shuffled. The set of trusted
-ids reaches the splits in the same way.
+spans that asked as one side file each, which a scoring task loads. So a worker's
+memory is bounded by its own span and texts are never shuffled. The set of trusted
+ids reaches the spans in the same way.
 
 A document is kept if its perplexity is at most ``MARGIN`` times the ``QUANTILE``
 quantile of the trusted documents of its language (of all trusted documents where a
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import by_split, materialize, read_side, with_split, write_side
+from strandline.llm.shared import by_split, materialize, read_side, with_rows, write_side
 
 ORDER = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.1, 60.0
 #: Symbols assumed for the uniform distribution below the first order.
 ALPHABET = 1000
 WORDS_KEPT = 400_000
+#: Rows that ask for their n-grams together.
+SPAN = 8192
 _PAD, _END = "\x02" * (ORDER - 1), "\x03"
 _DIGIT = re.compile(r"\d")
 
@@ -193,7 +195,7 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, perplexity, n_symbols, trusted of every row of ``docs`` (doc_id, text, lang)."""
     spark: SparkSession = docs.sparkSession
-    source = with_split(docs.select("doc_id", "text", "lang"))
+    source = with_rows(docs.select("doc_id", "text", "lang"), SPAN)
     good = labels.where("quality = 1").select("doc_id").distinct()
     trusted = write_side(source.select("doc_id", "__split").join(good, "doc_id"), "trusted")
     counts = source.select("doc_id", "text", "__split").mapInArrow(_count(trusted), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))

@@ -75,19 +75,34 @@ def held(key: tuple, make):
     return _HELD[key]
 
 
-def with_split(docs: DataFrame) -> DataFrame:
-    """``docs`` plus __split, the same for all rows of an input split. Rows that don't come from files are written first."""
-    key = F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("__split")
-    try:
-        keyed = docs.select("*", key)
-        keyed.schema  # noqa: B018  the analysis
-        return keyed
-    except AnalysisException:
-        return materialize(docs, "split-input").select("*", key)
+def _is_scan(plan) -> bool:
+    """Whether a logical plan only filters and projects one scan of Parquet files, alike at every run."""
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        if not plan.deterministic():
+            return False
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
+def with_rows(docs: DataFrame, span: int) -> DataFrame:
+    """``docs`` plus __row, a row's number in its file, and __split, the same for ``span`` rows that follow each other.
+
+    Neither depends on how a scan cuts the files, so two scans agree. Rows that are not
+    just read from Parquet files are written first.
+    """
+    keys = [F.col("_metadata.row_index").alias("__row"), F.expr(f"xxhash64(_metadata.file_path, _metadata.row_index div {span})").alias("__split")]
+    if _is_scan(docs._jdf.queryExecution().analyzed()):
+        try:
+            keyed = docs.select("*", *keys)
+            keyed.schema  # noqa: B018  the analysis
+            return keyed
+        except AnalysisException:  # files without row numbers
+            pass
+    return materialize(docs, "row-input").select("*", *keys)
 
 
 def write_side(rows: DataFrame, name: str) -> str:
-    """One side file for each split; a split's rows are bounded by the split."""
+    """One folder for each split; a split's rows are bounded by the split."""
     uri = scratch(rows.sparkSession, name)
     rows.repartition("__split").write.partitionBy("__split").parquet(uri)
     return uri

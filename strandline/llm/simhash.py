@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.llm.components import connected_components
-from strandline.llm.shared import by_split, materialize, read_side, with_split, write_side
+from strandline.llm.shared import materialize
 
 WIDTH, SEED, RADIUS = 3, 42, 2
 NODE_LIMIT, LEVELS, LEAF = 2048, 4, 16
@@ -120,35 +120,44 @@ class _Union:
 def _group(patterns: np.ndarray, shared: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Factor what ``size`` neighbours have in common into one upper entry each."""
     at = np.arange(0, len(patterns), size)
-    first = np.repeat(patterns[at], np.diff(np.append(at, len(patterns))))
+    first = np.repeat(patterns[at], np.diff(np.append(at, len(patterns))), axis=0)
     differ = np.bitwise_or.reduceat(patterns ^ first, at)
     common = np.bitwise_and.reduceat(shared, at) & ~differ
     return patterns[at] & common, common
 
 
-def _near(pa_: np.ndarray, sa: np.ndarray, pb: np.ndarray, sb: np.ndarray) -> np.ndarray:
-    return np.bitwise_count((pa_ ^ pb) & sa & sb) <= RADIUS
+def _near(pa_: np.ndarray, sa: np.ndarray, pb: np.ndarray, sb: np.ndarray, radius: int) -> np.ndarray:
+    return np.bitwise_count((pa_ ^ pb) & sa & sb).sum(-1) <= radius
 
 
-def index_links(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(member, root) codes of every linked set of the different ``codes`` of one node."""
-    codes = codes[np.argsort(gray_rank(codes))]
-    full = np.full(len(codes), _ALL, np.uint64)
+def near_pairs(codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(i, j, difference), i < j, of all codes (rows of 64-bit words, sorted by Gray rank) within ``radius`` bits of each other."""
+    full = np.full(codes.shape, _ALL, np.uint64)
     leaf_p, leaf_s = _group(codes, full, LEAF)
     top_p, top_s = _group(leaf_p, leaf_s, LEAF)
-    union, offsets = _Union(len(codes)), np.arange(LEAF)
+    offsets = np.arange(LEAF)
     for t in range(len(top_p)):
-        tops = np.nonzero(_near(top_p[t], top_s[t], top_p[t:], top_s[t:]))[0] + t
+        tops = np.nonzero(_near(top_p[t], top_s[t], top_p[t:], top_s[t:], radius))[0] + t
         right = (tops[:, None] * LEAF + offsets).ravel()
         right = right[right < len(leaf_p)]
         for g in range(t * LEAF, min(len(leaf_p), (t + 1) * LEAF)):
             leaves = right[right >= g]
-            leaves = leaves[_near(leaf_p[g], leaf_s[g], leaf_p[leaves], leaf_s[leaves])]
+            leaves = leaves[_near(leaf_p[g], leaf_s[g], leaf_p[leaves], leaf_s[leaves], radius)]
             members = (leaves[:, None] * LEAF + offsets).ravel()
             members = members[members < len(codes)]
             own = np.arange(g * LEAF, min(len(codes), (g + 1) * LEAF))
-            i, j = np.nonzero(np.bitwise_count(codes[own][:, None] ^ codes[members][None, :]) <= RADIUS)
-            union.join(own[i], members[j])
+            differ = np.bitwise_count(codes[own][:, None] ^ codes[members][None, :]).sum(-1)
+            i, j = np.nonzero((differ <= radius) & (own[:, None] < members[None, :]))
+            if len(i):
+                yield own[i], members[j], differ[i, j]
+
+
+def index_links(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(member, root) codes of every linked set of the different ``codes`` of one node."""
+    codes = codes[np.argsort(gray_rank(codes))]
+    union = _Union(len(codes))
+    for i, j, _ in near_pairs(codes[:, None], RADIUS):
+        union.join(i, j)
     moved = np.nonzero(union.p != np.arange(len(codes)))[0]
     return codes[moved], codes[union.p[moved]]
 
@@ -232,47 +241,3 @@ def group_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_
     return rows.join(_components(rows), "fp").select(
         F.col("__id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
-
-
-def _numbered(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
-    """Batches of one split each with their rows' numbers in the split."""
-    at, n = None, 0
-    for split, batch in by_split(batches, column):
-        if split != at:
-            at, n = split, 0
-        yield split, batch, np.arange(n, n + len(batch))
-        n += len(batch)
-
-
-def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One row of each group, all columns unchanged: the one with the least id, the first in the input on ties.
-
-    Which rows stay travels to the input splits as row numbers, so texts are not shuffled
-    and rows with equal or null ids are told apart.
-    """
-    source = with_split(docs)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, batch, rows in _numbered(batches, 2):
-            fps = np.fromiter((fold(shingle_hashes(t)) for t in batch.column(1).to_pylist()), np.uint64, len(batch))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows), pa.array(fps.view(np.int64))], names=["__id", "__split", "__row", "fp"])
-
-    schema = T.StructType([T.StructField("__id", docs.schema[id_col].dataType), *T._parse_datatype_string("__split long, __row long, fp long").fields])
-    rows = materialize(source.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__t"), "__split").mapInArrow(number, schema), "fingerprints")
-    joined = rows.join(_components(rows), "fp")
-    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__split", "__row"))
-    # a group is named by its component; groups of null ids only are named by their fingerprint
-    kept = joined.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("__own")).agg(first.alias("x"))
-    uri = write_side(kept.select(F.col("x.__split").alias("__split"), F.col("x.__row").alias("row")), "kept")
-    names, width = docs.columns, len(docs.columns)
-
-    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, stay = None, np.zeros(0, np.int64)
-        for split, batch, numbers in _numbered(batches, width):
-            if split != at:
-                side = read_side(uri, split)
-                at, stay = split, side.column("row").to_numpy() if side is not None else np.zeros(0, np.int64)
-            out = batch.filter(pa.array(np.isin(numbers, stay)))
-            yield pa.RecordBatch.from_arrays(out.columns[:width], names=names)
-
-    return source.mapInArrow(sift, docs.schema)

@@ -11,7 +11,9 @@ from tests.conftest import DATA
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strandline.llm import decontaminate, langid, pii, quality, simhash
+from pyspark.sql import functions as F
+
+from strandline.llm import decontaminate, langid, neardup, pii, quality, simhash
 
 
 def frame(spark, texts, **more):
@@ -82,9 +84,102 @@ def test_oversize_nodes_are_split_without_loss(spark, monkeypatch):
     assert (want.p == got.p).all()
 
 
+def kept_by_brute_force(rows):
+    """Ids of the first rows of the sets that Jaccard similarities of five-word shingles of 0.8 or more connect."""
+    sets, root = [], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    least: dict = {}
+    for k, (i, _) in enumerate(rows):
+        least[find(k)] = min(least.get(find(k), (i is None, i or 0)), (i is None, i or 0))
+    return sorted(least.values())
+
+
+def planted(rng, vocabulary, n):
+    """Texts with exact copies and copies with a few words changed, between 0.6 and 1 similar."""
+    out = []
+    for _ in range(n):
+        words = rng.choices(vocabulary, k=rng.randint(1, 300))
+        out.append(" ".join(words))
+        for _ in range(rng.choice([0, 0, 1, 4])):
+            copy = list(words)
+            for _ in range(rng.randint(0, 1 + len(words) // 60)):
+                copy[rng.randrange(len(copy))] = "changed"
+            out.append(" ".join(copy).upper())
+    rng.shuffle(out)
+    return [(i, t) for i, t in enumerate(out)]
+
+
 def test_keep_one_keeps_one_of_each_group(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (2, "a b c d"), (None, "x y z w"), (None, "x y z w"), (3, None), (4, ""), (5, "q r s t u v")], "doc_id long, text string").repartition(3)
-    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in simhash.keep_one(df).collect()) == [(0, "x y z w"), (1, "a b c d"), (3, ""), (5, "q r s t u v")]
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in neardup.keep_one(df).collect()) == [(0, "x y z w"), (1, "a b c d"), (3, ""), (5, "q r s t u v")]
+    assert neardup.keep_one(df.limit(0)).count() == 0
+
+
+def test_keep_one_matches_brute_force_however_rows_are_dealt(spark, tmp_path):
+    rows = planted(random.Random(11), [f"w{i}" for i in range(900)], 120)
+    want = [i for _, i in kept_by_brute_force(rows)]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "doc_id as __row", "'x' as node", "text as __text").repartition(3).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    half = docs.where("doc_id % 2 = 0").unionByName(docs.where("doc_id % 2 = 1"))
+    named = docs.drop("__row").withColumnRenamed("node", "split")
+    for some in (docs.drop("__row"), named.repartition(5, "doc_id"), named.orderBy(F.desc("doc_id")), half.drop("__row"), named.where("doc_id >= 0")):
+        got = neardup.keep_one(some)
+        assert got.columns == some.columns
+        ids = sorted(r["doc_id"] for r in got.collect())
+        assert set(want) <= set(ids) and len(ids) <= 1.02 * len(want)
+        assert {r["doc_id"]: r["text"] for r in got.collect()} == {i: t for i, t in rows if i in set(ids)}
+    got = neardup.keep_one(named)
+    before = sorted(r["doc_id"] for r in got.collect())
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert sorted(r["doc_id"] for r in got.collect()) == before
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+
+
+def test_keep_one_in_a_large_group_of_near_copies(spark, monkeypatch):
+    """A group of more fingerprints than a window holds is still one group."""
+    monkeypatch.setattr(neardup, "WINDOW", 64)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(600):
+        copy = list(words)
+        copy[rng.randrange(200)] = f"x{i}"
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, " ".join(rng.choices(words, k=50))) for i in range(100)]
+    got = sorted(r["doc_id"] for r in neardup.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [0, *range(1000, 1100)]
+
+
+def test_spanning_forest_keeps_what_any_distance_connects():
+    rng = np.random.default_rng(2)
+    n = 60
+    i, j = np.triu_indices(n, 1)
+    pick = rng.random(len(i)) < 0.1
+    i, j, d = i[pick], j[pick], rng.integers(0, 20, pick.sum())
+    a, b = neardup.spanning(i, j, d, n)
+    by = {(x, y): z for x, y, z in zip(i.tolist(), j.tolist(), d.tolist())}
+    tree = np.array([by[x, y] for x, y in zip(a.tolist(), b.tolist())])
+    assert len(a) < n
+    for level in range(20):
+        want, got = simhash._Union(n), simhash._Union(n)
+        want.join(i[d <= level], j[d <= level])
+        got.join(a[tree <= level], b[tree <= level])
+        assert (want.p == got.p).all()
 
 
 def test_simhash_empty_table(spark):
