@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: Integers that stand for missing likelihoods.
 MISSING = (-2147483648, -2147483647)
 STOP = 1e-7
+#: Likelihoods of the sites that are solved together.
+TENSOR = 2_000_000
 
 
 def genotype_alleles(alleles: int, ploidy: int) -> np.ndarray:
@@ -32,21 +34,30 @@ def allele_frequencies(likelihoods: np.ndarray, alleles: int, ploidy: int = 2, l
     ``likelihoods``: samples x genotypes, rows of ones where unknown. Stops when no frequency
     moves by more than STOP; ``signed`` looks at increases only (Q2).
     """
+    freq, post = frequencies_of_sites(likelihoods[None], alleles, ploidy, limit, signed)
+    return freq[0], post[0]
+
+
+def frequencies_of_sites(likelihoods: np.ndarray, alleles: int, ploidy: int = 2, limit: int = 1000, signed: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """EM of many sites of one shape (sites x samples x genotypes) at once; a site rests when it has settled."""
     counts = genotype_alleles(alleles, ploidy)
     ways = np.where((counts == 1).sum(1) == 2, 2.0, 1.0) if ploidy == 2 else np.ones(len(counts))
-    freq = np.full(alleles, 1.0 / alleles)
+    freq = np.full((len(likelihoods), alleles), 1.0 / alleles)
     post = np.full_like(likelihoods, 1.0 / len(counts), dtype=float)
+    todo = np.arange(len(likelihoods))
     for _ in range(limit):
-        prior = ways * np.prod(freq[None, :] ** counts, axis=1)
-        post = likelihoods * prior
-        total = post.sum(1, keepdims=True)
-        post = np.where(total > 0, post / np.where(total > 0, total, 1), prior / prior.sum())
-        new = (post @ counts).sum(0)
-        new = new / new.sum()
-        moved = (new - freq).max() if signed else np.abs(new - freq).max()
-        freq = new
-        if moved <= STOP:
+        if not len(todo):
             break
+        old = freq[todo]
+        prior = ways * np.prod(old[:, None, :] ** counts, axis=2)
+        now = likelihoods[todo] * prior[:, None, :]
+        total = now.sum(2, keepdims=True)
+        now = np.where(total > 0, now / np.where(total > 0, total, 1), (prior / prior.sum(1, keepdims=True))[:, None, :])
+        new = (now @ counts).sum(1)
+        new /= new.sum(1, keepdims=True)
+        post[todo], freq[todo] = now, new
+        moved = (new - old).max(1) if signed else np.abs(new - old).max(1)
+        todo = todo[moved > STOP]
     return freq, post
 
 
@@ -86,13 +97,20 @@ def recall(sites: DataFrame, alleles: str = "n_alleles", pl: str = "pl", ploidy:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            af, gt, gq, gp = [], [], [], []
-            for n, lists in zip(pdf[alleles], pdf[pl]):
-                genotypes = len(genotype_alleles(int(n), ploidy))
-                freq, post = allele_frequencies(likelihoods_of(list(lists), genotypes), int(n), ploidy, signed=signed)
-                af.append(freq.tolist()), gt.append(post.argmax(1).tolist()), gp.append(post.tolist())
-                error = np.maximum(1 - post.max(1), 10**-9.9)
-                gq.append(np.minimum(99, np.floor(-10 * np.log10(error))).astype(int).tolist())
+            af, gt, gq, gp = ([None] * len(pdf) for _ in range(4))
+            shapes: dict[tuple[int, int], list[int]] = {}
+            for i, (n, lists) in enumerate(zip(pdf[alleles], pdf[pl])):
+                shapes.setdefault((int(n), len(lists)), []).append(i)
+            for (n, samples), sites_ in shapes.items():
+                genotypes = len(genotype_alleles(n, ploidy))
+                per = max(1, TENSOR // max(1, samples * genotypes))
+                for at in range(0, len(sites_), per):
+                    some = sites_[at : at + per]
+                    freq, post = frequencies_of_sites(np.stack([likelihoods_of(list(pdf[pl].iloc[i]), genotypes) for i in some]), n, ploidy, signed=signed)
+                    error = np.maximum(1 - post.max(2), 10**-9.9) if samples else np.zeros(post.shape[:2])
+                    quality = np.minimum(99, np.floor(-10 * np.log10(error))).astype(int)
+                    for k, i in enumerate(some):
+                        af[i], gt[i], gq[i], gp[i] = freq[k].tolist(), post[k].argmax(1).tolist(), quality[k].tolist(), post[k].tolist()
             yield pdf.assign(af=af, gt=gt, gq=gq, gp=gp)
 
     return sites.mapInPandas(run, schema)

@@ -89,7 +89,7 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
     b = renamed.withColumn("__bin", F.explode(bins(F.col("r_start"), F.col("r_end"))))
     lo, hi = F.col("start") - slack, F.col("end") + slack
     numbered = valid(left)
-    if how == "left":
+    if how != "inner":  # equal rows are rows of their own
         numbered = numbered.withColumn("__row", F.monotonically_increasing_id())
     a = numbered.withColumn("__bin", F.explode(bins(lo, hi)))
     on = [F.col(k) == F.col(f"r_{k}") for k in keys]
@@ -97,10 +97,8 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int,
     on += [F.col("__abin") == F.col("__bin"), lo < F.col("r_end"), F.col("r_start") < hi]
     first = F.floor(F.greatest(lo, F.col("r_start")) / width) == F.col("__bin")
     if how in ("semi", "anti"):
-        hit = a.join(b, on, "left_semi").select(*left.columns)
-        if how == "semi":
-            return hit.distinct()
-        return valid(left).join(hit.distinct(), [valid(left)[c].eqNullSafe(hit[c]) for c in left.columns], "left_anti")
+        hit = a.join(b, on, "left_semi").select(*left.columns, "__row").dropDuplicates(["__row"])
+        return (hit if how == "semi" else numbered.join(hit.select("__row"), "__row", "left_anti")).select(*left.columns)
     pairs = a.join(b, [*on, first]).drop("__abin", "__bin")
     if how == "inner":
         return pairs

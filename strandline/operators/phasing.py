@@ -34,7 +34,7 @@ def position_join(calls: DataFrame, phased: DataFrame, keys: tuple[str, ...] = (
 
 
 class SignedForest:
-    """Union-find with a relative orientation; a contradicting edge marks both blocks invalid."""
+    """Trees of blocks with a relative orientation; a contradicting edge cuts off the later of its blocks and marks only that one invalid."""
 
     def __init__(self, numeric: bool = True):
         self.parent: dict[str, tuple[str, bool]] = {}
@@ -46,31 +46,26 @@ class SignedForest:
         return (head, int(tail)) if self.numeric and tail.isdigit() else (block, 0)
 
     def find(self, block: str) -> tuple[str, bool]:
-        """(root, whether the orientation flips on the way)."""
-        path, flip = [], False
-        at = block
-        while at in self.parent:
-            path.append(at)
-            at, turned = self.parent[at][0], self.parent[at][1]
+        """(root, whether the orientation flips on the way). Paths stay as they are, so that a block can be cut off with what hangs below it."""
+        flip = False
+        while block in self.parent:
+            block, turned = self.parent[block]
             flip ^= turned
-        total = flip
-        for node in path:  # compress
-            turned = self.parent[node][1]
-            self.parent[node] = (at, total)
-            total ^= turned
-        return at, flip
+        return block, flip
 
     def link(self, a: str, b: str, flipped: bool) -> None:
+        if a in self.invalid or b in self.invalid:
+            return
         (ra, fa), (rb, fb) = self.find(a), self.find(b)
         if ra == rb:
-            if fa ^ fb != flipped:
-                self.invalid.add(ra)
+            if fa ^ fb != flipped:  # the later block leaves its parent and takes no further part
+                late = max(a, b, key=self._key)
+                self.parent.pop(late, None)
+                self.invalid.add(late)
             return
         if self._key(rb) < self._key(ra):
             (ra, fa), (rb, fb) = (rb, fb), (ra, fa)
         self.parent[rb] = (ra, fa ^ fb ^ flipped)
-        if rb in self.invalid:
-            self.invalid.add(ra)
 
 
 def merge_blocks(edges: DataFrame, keys: list[str], numeric: bool = True) -> DataFrame:
@@ -89,7 +84,7 @@ def merge_blocks(edges: DataFrame, keys: list[str], numeric: bool = True) -> Dat
                 forest.link(r.a, r.b, bool(r.flipped))
         rows = [(b, *forest.find(b)) for b in seen]
         out = pd.DataFrame(rows, columns=["block", "root", "flipped"])
-        out["valid"] = ~out["root"].isin(forest.invalid)
+        out["valid"] = ~out["block"].isin(forest.invalid)
         for i, k in enumerate(keys):
             out.insert(i, k, pdf[k].iloc[0])
         return out

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,27 +19,35 @@ def apply_exclusions(samples: DataFrame, exclusions: DataFrame, key: str = "samp
 def batches(items: DataFrame, keys: list[str], order: str, size: str, cap: float, alone: bool = False) -> DataFrame:
     """Adds ``batch``: rows in order fill a batch until the next would exceed the cap.
 
-    A row larger than the cap has a batch to itself; no empty batch is counted (Q11). With
-    ``alone`` such a row doesn't end the batch that is being filled. The fold is sequential
-    within a key (a sheet and protocol).
+    A row larger than the cap has a batch to itself; no empty batch is counted (Q11).
+    With ``alone`` such a row doesn't end the batch that is being filled. A missing size
+    counts as nothing. The fold is sequential within a key (a sheet and protocol); keys are
+    dealt to tasks and each task folds its sorted rows in one pass.
     """
     schema = T.StructType([*items.schema.fields, T.StructField("batch", T.IntegerType())])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        out, batch, used, following = [], 0, 0.0, 1
-        for s in pdf[size]:
-            if alone and s > cap:
-                out.append(following)
-                following += 1
-                continue
-            if batch == 0 or used + s > cap:
-                batch, used, following = following, 0.0, following + 1
-            out.append(batch)
-            used += s
-        return pdf.assign(batch=pd.Series(out, index=pdf.index, dtype="int32"))
-
-    return items.groupBy(*keys).applyInPandas(run, schema)
+    columns, names = items.columns, schema.fieldNames()
+    at_keys, at_size = [columns.index(k) for k in keys], columns.index(size)
+
+    def run(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, batch, used, following = None, 0, 0.0, 1
+        for rows in batches_:
+            out = []
+            for k, s in zip(zip(*(rows.column(i).to_pylist() for i in at_keys)), rows.column(at_size).to_pylist()):
+                if k != key:
+                    key, batch, used, following = k, 0, 0.0, 1
+                s = float(s or 0)
+                if alone and s > cap:
+                    out.append(following)
+                    following += 1
+                    continue
+                if batch == 0 or used + s > cap:
+                    batch, used, following = following, 0.0, following + 1
+                out.append(batch)
+                used += s
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, pa.int32())], names=names)
+
+    dealt = items.repartition(*keys).sortWithinPartitions(*keys, F.col(order).asc_nulls_last())
+    return dealt.mapInArrow(run, schema)
 
 
 def disambiguate(groups: DataFrame, keys: list[str], name: str, order: str) -> DataFrame:

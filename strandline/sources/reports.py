@@ -72,13 +72,19 @@ for _tag in ("FFQ", "LFQ"):
     section("alignments", _tag)(_cycle_quality(_tag))
 
 
+#: Kinds of summary lines that a table may have as columns.
+METRICS = 500
+
+
 def alignment_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row a file: the summary numbers plus mean qualities, GC, indel lengths and covered share."""
     from strandline.operators.stats import weighted_mean
 
     s = read_sections(spark, "alignments", path)
     numbers = s["SN"].withColumn("metric", clean_identifier("key"))
-    names = [r[0] for r in numbers.select("metric").distinct().orderBy("metric").limit(500).collect()]  # a fixed set of report lines
+    names = [r[0] for r in numbers.select("metric").distinct().orderBy("metric").limit(METRICS + 1).collect()]  # a fixed set of report lines
+    if len(names) > METRICS:
+        raise ValueError(f"more than {METRICS} kinds of summary lines; these are not reports of one tool")
     out = pivot_metrics(numbers, ["file"], names)
     quality = lambda t, n: s[t].groupBy("file").agg(weighted_mean(F.col("quality"), F.col("n")).alias(n))
     gc = lambda t, n: s[t].groupBy("file").agg(weighted_mean(F.col("gc"), F.col("n")).alias(n))

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def format_number(value: float | int | None, digits: int = 4) -> str:
-    """Integral values without a point, others with ``digits`` places and no trailing zeros, non-finite and missing ones empty."""
-    import math
+@F.pandas_udf(T.StringType())
+def number_text(values: pd.Series) -> pd.Series:
+    """Report form of numbers (P07): whole ones as integers, others to four places of their exact binary value, nothing for missing and non-finite ones.
 
-    if value is None or (isinstance(value, float) and not math.isfinite(value)):
-        return ""
-    if float(value).is_integer():
-        return str(int(value))
-    return f"{value:.{digits}f}"
-
-
-@F.udf(T.StringType())
-def _formatted(value: float) -> str:
-    return format_number(value)
+    SQL's own formatting rounds the shortest decimal form half up, so it can't stand in here.
+    """
+    v = pd.to_numeric(values, errors="coerce").to_numpy(float)
+    text = np.char.mod("%.4f", v).astype(object)
+    whole = np.isfinite(v) & (np.floor(v) == v)
+    text[whole] = np.char.mod("%d", v[whole])
+    text[~np.isfinite(v)] = ""
+    return pd.Series(text)
 
 
 def write_tsv(df: DataFrame, path: str, fields: list[str] | None = None, single: bool = False, formatted: bool = False) -> None:
@@ -30,7 +30,7 @@ def write_tsv(df: DataFrame, path: str, fields: list[str] | None = None, single:
     """
     out = df.select(*fields) if fields else df
     if formatted:
-        out = out.withColumns({c: _formatted(c) for c, kind in out.dtypes if kind in ("double", "float")})
+        out = out.withColumns({c: number_text(c) for c, kind in out.dtypes if kind in ("double", "float")})
     out = out.withColumns({c: F.array_join(F.col(c).cast("array<string>"), ";") for c, kind in out.dtypes if kind.startswith("array")})
     (out.coalesce(1) if single else out).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)
 
@@ -59,8 +59,8 @@ def scalar_metadata(df: DataFrame) -> DataFrame:
 
 def text_report(samples: DataFrame, flags: DataFrame, loci: DataFrame, value: str = "calls") -> str:
     """A short report: ten largest burdens, twenty flags, twenty loci (K08, O02, O03). The limits are the report's."""
-    top = samples.orderBy(F.desc(value), "sample").limit(10).collect()
-    out = ["Largest burdens"] + [f"  {r['sample']}\t{format_number(r[value])}" for r in top]
+    top = samples.orderBy(F.desc(value), "sample").limit(10).select("sample", number_text(F.col(value).cast("double")).alias("v")).collect()
+    out = ["Largest burdens"] + [f"  {r['sample']}\t{r['v']}" for r in top]
     out += ["Flags"] + ["  " + "\t".join(map(str, r)) for r in flags.limit(20).collect()]
     out += ["Loci"] + ["  " + "\t".join(map(str, r)) for r in loci.orderBy(F.desc("sample_count"), *loci.columns[:2]).limit(20).collect()]
     return "\n".join(out) + "\n"

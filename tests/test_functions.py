@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strandline.functions import fields, genome, hashing
 from strandline.functions import records as rec
 from strandline.operators import stats as st
-from strandline.sources.sinks import format_number
+from strandline.sources.sinks import number_text
 
 
 def one(spark, column, **values):
@@ -89,5 +89,8 @@ def test_outliers_without_spread(spark):
     assert [(x["sample"], x["median"], x["mad"], x["high"], x["low"], x["flag"]) for x in r] == [("s4", 10, 0, 20, 0, "HIGH")]
 
 
-def test_format_number():
-    assert [format_number(v) for v in (3.0, 0.12345, None, float("inf"), 2)] == ["3", "0.1235" if f"{0.12345:.4f}" == "0.1235" else "0.1234", "", "", "2"]
+def test_number_text(spark):
+    values = [3.0, 0.12345, None, float("inf"), 2.0, -0.5, 0.00015, 1e20]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r["t"] for r in df.select("i", number_text("v").alias("t")).orderBy("i").collect()]
+    assert got == ["3", f"{0.12345:.4f}", "", "", "2", "-0.5000", f"{0.00015:.4f}", "100000000000000000000"]

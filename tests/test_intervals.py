@@ -136,3 +136,11 @@ def test_interval_order(spark):
     df = spark.createDataFrame([(c, 1, 2) for c in ("chrX", "chr10", "chr2", "chrM", "chrUn", "chrY")], "chrom string, start long, end long")
     assert [r["chrom"] for r in iv.genome_order(df).collect()] == ["chr2", "chr10", "chrX", "chrY", "chrM", "chrUn"]
     assert iv.shift_circular(df.select(F.lit(99).alias("pos")), 5, 100).first()["pos"] == 4
+
+
+def test_semi_and_anti_joins_keep_repeated_rows(spark):
+    schema = "chrom string, start long, end long, note string"
+    left = spark.createDataFrame([("a", 0, 300, None), ("a", 0, 300, None), ("a", 900, 950, "x"), ("a", 900, 950, "x"), (None, 1, 5, "n")], schema)
+    right = spark.createDataFrame([("a", 10, 20, ""), ("a", 250, 260, "")], schema)
+    assert sorted(r["start"] for r in iv.overlap_join(left, right, ["chrom"], 50, "semi").collect()) == [0, 0]
+    assert sorted(r["start"] for r in iv.overlap_join(left, right, ["chrom"], 50, "anti").collect()) == [1, 900, 900]

@@ -1,5 +1,6 @@
 """EM, phasing, cohorts, batches and alignments against plain models."""
 
+import random
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -37,7 +38,11 @@ def test_union_find_marks_conflicts(spark):
     rows = [("s", "c:900", "c:1000", False, 1), ("s", "c:1000", "c:20", True, 2), ("s", "c:900", "c:20", True, 3), ("s", "d:1", "d:2", False, 4), ("s", "d:1", "d:2", True, 5)]
     df = spark.createDataFrame(rows, "sample string, a string, b string, flipped boolean, ord int")
     got = {r["block"]: (r["root"], r["flipped"], r["valid"]) for r in phasing.merge_blocks(df, ["sample"]).collect()}
-    assert got["c:900"] == ("c:20", True, True) and got["c:1000"] == ("c:20", True, True) and got["d:1"][2] is False
+    assert got["c:900"] == ("c:20", True, True) and got["c:1000"] == ("c:20", True, True) and got["d:1"] == ("d:1", False, True) and got["d:2"] == ("d:2", False, False)
+    # what hangs below a block that is cut off stays with it; an invalid block takes no further part
+    rows = [("s", "c:5", "c:9", False, 1), ("s", "c:1", "c:5", True, 2), ("s", "c:1", "c:5", False, 3), ("s", "c:5", "c:7", False, 4)]
+    got = {r["block"]: (r["root"], r["flipped"], r["valid"]) for r in phasing.merge_blocks(spark.createDataFrame(rows, df.schema), ["sample"]).collect()}
+    assert got == {"c:1": ("c:1", False, True), "c:5": ("c:5", False, False), "c:9": ("c:5", False, True), "c:7": ("c:7", False, True)}
     assert phasing.SignedForest(numeric=False)._key("c:900") > phasing.SignedForest(numeric=False)._key("c:1000")
 
 
@@ -149,3 +154,30 @@ def test_high_confidence_fixture(spark, change, want):
     schema = "contig string, start long, end long, copies string, alt string, filter string, qs int, np int"
     df = spark.createDataFrame([tuple(row.values())], schema)
     assert df.select(calls.high_confidence(F.struct(*row)).alias("x")).first()["x"] is want
+
+
+def test_kmers_match_plain_counts(spark, monkeypatch):
+    from strandline.operators import kmers
+
+    monkeypatch.setattr(kmers, "POSITIONS", 37)
+    monkeypatch.setattr(kmers, "ROWS", 7)
+    rng = random.Random(1)
+    rows = [(rng.choice(["x", None, "y"]), "".join(rng.choices("ACGT😀é", k=rng.randint(0, 30)))) for _ in range(60)] + [("x", None)]
+    df = spark.createDataFrame(rows, "g string, seq string")
+    for k in (1, 3, 5, 8):
+        want: dict = {}
+        for g, s in rows:
+            for i in range(len(s or "") - k + 1):
+                want[g, s[i : i + k]] = want.get((g, s[i : i + k]), 0) + 1
+        got = {(r["g"], r["kmer"]): r["n"] for r in kmers.count_kmers(df, "seq", k, ["g"], canonical=False, least=1, cap=None).collect()}
+        assert got == want
+
+
+def test_sites_are_solved_alike_one_by_one_and_together():
+    rng = np.random.default_rng(0)
+    x = rng.random((30, 7, 6))
+    x[3] = 0
+    freq, post = genotypes.frequencies_of_sites(x, 3)
+    for i in range(30):
+        f, p = genotypes.allele_frequencies(x[i], 3)
+        assert np.allclose(f, freq[i], atol=1e-12) and np.allclose(p, post[i], atol=1e-12)
