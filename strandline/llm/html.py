@@ -1,9 +1,10 @@
 """Main text of web pages by composite text density.
 
 A page is read into a flat element tree in document order (an element's subtree is a
-contiguous range). Elements that can't be main text by their tag, role, class or id
-(menus, page headers, footers, forms, notices, adverts, reader comments, scripts) are
-cut off. Every other element gets its composite text density: characters per tag,
+contiguous range). Elements that can't be main text by their tag, role or a class or id
+that says nothing else (menus, page headers, footers, forms, notices, adverts, reader
+comments, scripts) are cut off; a name that only holds such a word is left to the
+densities. Every other element gets its composite text density: characters per tag,
 adjusted by a logarithm for characters and tags in links relative to the body's. An
 element's density sum is the sum of its children's densities. The element with the
 largest sum (taken up to its enclosing article, if any) is the first part of the text;
@@ -22,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,13 +34,13 @@ from pyspark.sql import types as T
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|[^<]++|<", re.S
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PART = re.compile(r"[A-Za-z]+")
 
 # Element names of HTML by their role in parsing and in texts.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title noframes xmp svg math object".split())
+RAW = frozenset("script style template iframe textarea title noframes svg".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header"
     " hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -59,6 +61,24 @@ CUT_WORDS = frozenset(
     " share sharing social widget widgets toolbar pagination pager paginator login signin search searchbox copyright skip skiplink taboola outbrain paywall".split()
 )
 KEEP_WORDS = frozenset("article content main body post entry story text".split())
+STRONG_WORDS = frozenset("comment comments ad ads sidebar footer menu nav".split())
+#: Words that add nothing to what a name says.
+PLAIN_WORDS = KEEP_WORDS | frozenset(
+    "area bar block bottom box button col column container data group holder inline inner item items left level link links list module outer page panel posts"
+    " primary right row secondary section site slot text thread title top unit wrap wrapper header".split()
+)
+
+
+def _names_boilerplate(value: str, in_article: bool) -> bool:
+    """Whether one of the names in a class or id says that an element isn't main text, and nothing else."""
+    for name in value.split():
+        words = {w.lower() for w in _PART.findall(_HUMP.sub(" ", name))}
+        if words <= PLAIN_WORDS:
+            if "header" in words and not in_article and not words & KEEP_WORDS:
+                return True
+        elif words <= CUT_WORDS | PLAIN_WORDS and (words & STRONG_WORDS or not words & KEEP_WORDS):
+            return True
+    return False
 
 
 def _cut(tag: str, attributes: str, in_article: bool) -> bool:
@@ -68,21 +88,17 @@ def _cut(tag: str, attributes: str, in_article: bool) -> bool:
     if not attributes or tag in ("html", "body"):
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), value.strip("\"'")
+        name, value = name.lower(), entities.unescape(value.strip("\"'"))
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 return True
         elif name == "role":
-            if value.lower() in CUT_ROLES:
-                return True
-        elif name in ("class", "id") and tag not in ("article", "main", "p", "h1"):
-            words = {w.lower() for w in _PART.findall(_HUMP.sub(" ", value))}
-            if words & CUT_WORDS and not (words & KEEP_WORDS and not words & {"comment", "comments", "ad", "ads", "sidebar", "footer", "menu", "nav"}):
-                return True
-            if "header" in words and not in_article and not words & KEEP_WORDS:
+            if not CUT_ROLES.isdisjoint(value.lower().split()):
                 return True
+        elif name in ("class", "id") and tag not in ("article", "main", "p", "h1") and _names_boilerplate(value, in_article):
+            return True
     return False
 
 
@@ -102,12 +118,14 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack, tags, at, size = [0], self.tags, 0, len(html)
+        open_: Counter = Counter()  # how many elements of each name the stack holds
         articles = links = 0
 
         def close(depth: int) -> None:
             nonlocal articles, links
             while len(stack) > depth:
                 node = stack.pop()
+                open_[tags[node]] -= 1
                 self.ends[node] = len(tags)
                 articles -= tags[node] in ("article", "main")
                 links -= tags[node] == "a"
@@ -135,13 +153,13 @@ class Page:
                 continue
             tag = tag.lower()
             if m[1] or m[4]:  # an end tag
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] == tag:
-                        close(depth)
-                        break
-                else:
-                    if tag == "p":
-                        self.events.append((stack[-1], None))
+                if open_[tag] > 0:
+                    depth = len(stack) - 1
+                    while tags[stack[depth]] != tag:
+                        depth -= 1
+                    close(depth)
+                elif tag == "p":
+                    self.events.append((stack[-1], None))
                 continue
             attributes = (m[3] or m[6] or "").strip()
             if tag in ("html", "body"):
@@ -150,14 +168,14 @@ class Page:
                 continue
             if tags[stack[-1]] == "head" and tag not in HEAD_ONLY:
                 close(len(stack) - 1)
-            if tag in CLOSES_P:
+            if tag in CLOSES_P and open_["p"] > 0:
                 for depth in range(len(stack) - 1, 0, -1):
                     if tags[stack[depth]] == "p":
                         close(depth)
                         break
                     if tags[stack[depth]] in BLOCK:
                         break
-            if tag in CLOSED_BY:
+            if tag in CLOSED_BY and any(open_[t] > 0 for t in CLOSED_BY[tag][0]):
                 ended, bounds = CLOSED_BY[tag]
                 found = 0
                 for depth in range(len(stack) - 1, 0, -1):
@@ -178,7 +196,7 @@ class Page:
             if tag in BLOCK:
                 self.events.append((parent, None))
             node = self._open(tag, parent, self.dropped[parent] or _cut(tag, attributes, articles > 0))
-            if tag in VOID or (attributes.endswith("/") and tag in ("svg", "math")):
+            if tag in VOID or (attributes.endswith("/") and tag == "svg"):
                 self.ends[node] = len(tags)
                 continue
             if tag in RAW:
@@ -187,6 +205,7 @@ class Page:
                 self.ends[node] = len(tags)
                 continue
             stack.append(node)
+            open_[tag] += 1
             articles += tag in ("article", "main")
             links += tag == "a"
         close(0)
@@ -248,8 +267,10 @@ class Page:
                 if marked[i] or self.dropped[i]:
                     i = max(i + 1, self.ends[i]) if self.dropped[i] else i + 1
                     continue
-                around = i < top < self.ends[i] or any(marked[i : self.ends[i]])
-                if not around and chars[i] and density[i] >= threshold and links[i] <= chars[i] / 2:
+                around = i < top < self.ends[i]  # other marked elements lie before this one
+                if not around and 2 * links[i] > chars[i]:  # a menu, whatever else it says
+                    i = self.ends[i]
+                elif not around and chars[i] and density[i] >= threshold:
                     take = max(range(i, self.ends[i]), key=lambda k: (sums[k], -k))
                     take = take if sums[take] > density[i] else i
                     marked[take : self.ends[take]] = b"\1" * (self.ends[take] - take)

@@ -123,6 +123,59 @@ def test_html_never_fails(page):
     assert isinstance(html.main_text(page), str)
 
 
+WORDY = "plain words that fill the paragraph with some length to it and then a little more of the same "
+MENU = "".join(f"<a href=/{w}>{w} page</a> " for w in ("first", "second", "third", "fourth", "fifth", "sixth"))
+#: Pages without an article element, whose names say nothing.
+NEUTRAL = [
+    f"<body><div class=x1>{MENU}</div><div class=x2><h2>Heading of it all</h2><p>{WORDY * 3}</p><p>{WORDY * 2}</p><p>Ok.</p></div><div class=x3>{MENU}<span>all rights</span></div></body>",
+    f"<table><tr><td>{MENU}<td><p>{WORDY * 2}<p>Short.<p>{WORDY * 4}<td>{MENU}</table>",
+    f"<div><ul><li>{MENU}<li>{MENU}</ul></div><section><div><p>{WORDY}</p><p>{WORDY * 5}</p></div></section><div><p><a href=z>More of it</a></p></div>",
+]
+
+
+def test_html_densities_decide(monkeypatch):
+    want = [f"Heading of it all {WORDY * 3} {WORDY * 2} Ok.", f"{WORDY * 2} Short. {WORDY * 4}", f"{WORDY} {WORDY * 5}"]
+    assert [html.main_text(p) for p in NEUTRAL] == [" ".join(w.split()) for w in want]
+    usual = html.Page.densities
+
+    def flat(page):
+        density, sums, chars, links = usual(page)
+        return [0.0] * len(density), [0.0] * len(sums), chars, links
+
+    monkeypatch.setattr(html.Page, "densities", flat)
+    assert all(html.main_text(p) != " ".join(w.split()) for p, w in zip(NEUTRAL, want))
+
+
+@pytest.mark.parametrize("around", [
+    '<div title="the hidden cost">{}</div>', '<section data-hidden="false" data-role="navigation">{}</section>', '<div class="social-science">{}</div>', "<div alt='id=footer class=ad'>{}</div>",
+    '<div class="content has-sidebar">{}</div>', "<div><object>{}</object></div>", "<div><noscript>{}</noscript></div>",
+])
+def test_html_keeps_what_only_looks_like_boilerplate(around):
+    body = f"<p>{WORDY * 3}</p><p>with <math><mi>x</mi></math> in it, {WORDY * 2}</p>"
+    page = f"<body><div>{MENU}</div>{around.format(body)}<div class='site-footer'>{WORDY}</div><div id=cookieNotice>{WORDY * 9}</div></body>"
+    assert html.main_text(page) == " ".join(f"{WORDY * 3} with x in it, {WORDY * 2}".split())
+
+
+def test_html_time_is_linear_in_odd_tags():
+    import time
+
+    for unit in ("<div>x", "</i>", "</p>", "<b><p>", "<li><div>", "<a href=x><i>", "<td></b>"):
+        spent = []
+        for n in (4000, 32000):
+            began = time.process_time()
+            html.main_text("<i>" + unit * n + "y")
+            spent.append(time.process_time() - began)
+        assert spent[1] < 24 * max(spent[0], 0.02), (unit, spent)
+
+
+def test_html_rows(spark):
+    rows = [(1, None, "u"), (1, None, "u"), (2, "", "u"), (3, f"<p>{WORDY}</p>", None), (3, f"<p>{WORDY}</p>", None)]
+    df = spark.createDataFrame(rows, "page_id long, html string, url string").selectExpr("page_id", "html", "url", "'own' as n_chars", "'h' as `__html2`")
+    got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html.extract(df).collect())
+    text = WORDY.strip()
+    assert got == [(1, "", 0), (1, "", 0), (2, "", 0), (3, text, len(text)), (3, text, len(text))] and html.extract(df.limit(0)).count() == 0
+
+
 def test_html_query_shape(spark):
     out = html.extract(spark.read.parquet(f"{DATA}/pages.parquet").withColumnRenamed("url", "text"), keep=["page_id", "text"])
     assert out.columns == ["page_id", "text", "n_chars"] and all(r["n_chars"] == len(r["text"]) for r in out.collect())
