@@ -127,7 +127,7 @@ WORDY = "plain words that fill the paragraph with some length to it and then a l
 MENU = "".join(f"<a href=/{w}>{w} page</a> " for w in ("first", "second", "third", "fourth", "fifth", "sixth"))
 #: Pages without an article element, whose names say nothing.
 NEUTRAL = [
-    f"<body><div class=x1>{MENU}</div><div class=x2><h2>Heading of it all</h2><p>{WORDY * 3}</p><p>{WORDY * 2}</p><p>Ok.</p></div><div class=x3>{MENU}<span>all rights</span></div></body>",
+    f"<body><div class=x1>{MENU}</div><div class=x2><h2>Heading of it all</h2><p>{WORDY * 3}</p><p>{WORDY * 2}</p><p>Ok.</p></div><div class=x3><span>12</span> <span>pages</span> <span>of</span> <span>40</span></div></body>",
     f"<table><tr><td>{MENU}<td><p>{WORDY * 2}<p>Short.<p>{WORDY * 4}<td>{MENU}</table>",
     f"<div><ul><li>{MENU}<li>{MENU}</ul></div><section><div><p>{WORDY}</p><p>{WORDY * 5}</p></div></section><div><i>Print</i> <i>Save</i> <b>12</b> <i>Top</i></div>",
 ]
