@@ -213,10 +213,11 @@ def plain_edits(item, words):
     return min(d)
 
 
-def test_decontamination_matches_brute_force():
+@pytest.mark.parametrize("sieve", [True, False])
+def test_decontamination_matches_brute_force(sieve):
     rng = random.Random(1)
     items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate((3, 5, 6, 13, 20, 35, 57))]
-    index = decontaminate.ItemIndex(items)
+    index = decontaminate.ItemIndex(items, sieve=sieve)
     texts = [None, ""]
     for k in range(0, 14):
         for _, t in items:
@@ -233,6 +234,47 @@ def test_decontamination_matches_brute_force():
     assert len(got) >= 0.99 * len(want)
 
 
+def test_decontamination_at_the_edit_limit():
+    """Items with as many edits as are allowed: buckets find nearly all, and let few unrelated windows through."""
+    rng = random.Random(6)
+    items = [(i, " ".join(rng.choices(VOCAB, k=rng.randint(6, 80)))) for i in range(150)]
+    texts = [" ".join(rng.choices(VOCAB, k=30) + edit(t.split(), decontaminate.allowed_edits(len(t.split())), rng) + rng.choices(VOCAB, k=30)) for _, t in items]
+    for sieve in (True, False):
+        index = decontaminate.ItemIndex(items, sieve=sieve)
+        got = {(a, i) for a, i, _, _ in index.matches(texts)}
+        want = {(a, i) for a, (i, t) in enumerate(items) if plain_edits(t.split(), texts[a].split()) <= decontaminate.allowed_edits(len(t.split()))}
+        assert len(got & want) >= 0.97 * len(want)
+    doc, item, _ = index.candidates(*index.numbered([decontaminate.words_of(t) for t in texts]))
+    apart = {(a, b) for a, b in zip(doc.tolist(), item.tolist()) if a != b}
+    assert len(apart) < 0.03 * len(items) ** 2
+
+
+def test_without_buckets_nothing_longer_is_found(monkeypatch):
+    item = "the quick brown fox jumps over the lazy dog"
+    assert decontaminate.ItemIndex([(1, item)]).matches([item])
+    monkeypatch.setattr(decontaminate.LengthClass, "candidates", lambda self, words: np.zeros((2, 0), np.int64))
+    assert not decontaminate.ItemIndex([(1, item)]).matches([item])
+
+
+def test_decontamination_of_one_very_long_item():
+    rng = random.Random(8)
+    long = rng.choices(VOCAB, k=3000)
+    index = decontaminate.ItemIndex([(0, " ".join(long)), *((i, f"a{i} b c d{i} e f g") for i in range(1, 2000))])
+    found = {(a, i) for a, i, _, _ in index.matches(["x " + " ".join(edit(long, 200, rng)), "a7 b c d7 e f g"])}
+    assert {(0, 0), (1, 7)} <= found
+
+
+@pytest.mark.parametrize("kind", ["int", "string", "long"])
+def test_decontamination_ids_of_any_type(spark, kind):
+    text = "pack my box with five dozen liquor jugs"
+    docs = spark.createDataFrame([(1, text), (None, text), (2, "x")], "item_id long, text string").selectExpr(f"cast(item_id as {kind}) as item_id", "text", "'own' as edits", "1 as text2")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string").selectExpr(f"cast(item_id as {kind}) as item_id", "text")
+    got = decontaminate.contaminated(docs, items, id_col="item_id")
+    assert got.columns == ["doc_item_id", "item_id", "item_words", "edits", "similarity"]
+    assert sorted((r[0] is None, str(r[0]), str(r[1])) for r in got.collect()) == [(False, "1", "7"), (True, "None", "7")]
+    assert decontaminate.drop_contaminated(docs, items).columns == docs.columns
+
+
 def test_decontamination_blocks_and_stage(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 2)
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (2, None), (3, "pack my box with five dozen liquor jugs"), (4, ""), (5, "how vexingly quick daft zebras jump today")], "item_id long, text string")
