@@ -2,25 +2,32 @@
 
 Base spans (email, ip, card, phone) are leftmost, non-overlapping matches of fixed
 patterns that pass fixed checks; they are always reported. Beyond them one broad
-pattern proposes candidates (number groups, long secrets, user@host without a dot,
-names after a form of address). Labelers vote +1, 0 or -1 on each candidate:
-
-* a regex labeler (agreement with a base span, digit-count limits),
-* a gazetteer labeler (issuer and country prefixes, key prefixes and key lengths),
+pattern proposes candidates where no base span is: number groups of seven digits or
+more, and strings of twenty or more letters, digits and key characters with a digit.
+Labelers vote +1, 0 or -1 on each candidate and, so that there are sure cases, on each
+base span of digits:
+
+* a regex labeler (a base span; the form of a key; a number of card length that failed
+  the card check, words joined by hyphens),
+* a gazetteer labeler (issuer and country prefixes, key prefixes),
 * a context labeler (words just before the candidate),
-* a shape labeler (monotonous or letter-only strings).
+* a shape labeler (how many different characters).
+
+One aggregation counts by (kind, votes, feature value); every factor has a fixed, small
+domain, so the table has at most ``TABLE_LIMIT`` rows whatever the corpus. On it,
+expectation-maximisation estimates each labeler's reliability over all kinds and each
+kind's share of spans, with base spans held at certainty; the posteriors train a naive
+Bayes span classifier whose weights become literals of the annotating projection.
+Nothing is shuffled but the counts; text is read twice.
 
-One aggregation counts candidates by (kind, votes, feature value); every factor has a
-fixed, small domain, so the table has at most ``TABLE_LIMIT`` rows whatever the
-corpus. On it, expectation-maximisation estimates each labeler's reliability, and the
-posteriors train a naive Bayes span classifier whose weights become literals of the
-annotating projection. Nothing is shuffled but the counts; text is read twice.
+Offsets come from running sums that are folded in blocks of the root of their number, and
+texts are rewritten block by block, so a text of n matches takes n to the power of 1.5.
 
 Offsets are code points, ends exclusive. Edge cases: null text is the empty text and
-has no span; matches that fail a check are dropped without retries; candidates that
-overlap a base span are not added; no candidate at all gives a model that adds
-nothing; repeated rows are annotated alike; other columns pass through untouched.
-Column names that start with ``__`` are reserved.
+has no span; matches that fail a check are dropped without retries; no candidate at all
+gives a model that adds nothing; repeated rows are annotated alike; very long texts are
+read whole; other columns pass through untouched. Column names that start with ``__``
+are reserved.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-EXTRA = ("number", "secret", "handle", "name")
+EXTRA = ("number", "secret")
 
 # The base patterns. Possessive forms match the same strings as the
 # greedy ones and run without recursion; the look-behinds skip starts inside a run
@@ -44,35 +51,64 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # Only texts that hold such a string are worth the full pattern.
 GUARDS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 
-# Forms of address, key prefixes and context words of the labelers.
-ADDRESS = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame|Mme"
+# Key prefixes and context words of the labelers; the context patterns reach less than REACH characters back.
 KEY_PREFIXES = r"^(?:sk-|pk-|ghp_|gho_|AKIA|ASIA|xox[abp]-|glpat-|eyJ)"
 CONTEXT = r"(?i)(?:token|secret|password|passwd|api[_ -]?key|auth|bearer|e-?mail|mail|phone|tel|telefon|téléphone|teléfono|call|fax|mobile|card|visa|iban|account|konto|ssn|passport|name|contact)[\"'\x20]{0,2}[:=#]?[\"'\x20]{0,3}$"
-AGAINST = r"(?i)(?:page|pages|isbn|issue|version|vol|volume|fig|figure|table|chapter|section|year|order|invoice|commit|sha1|md5)[\x20.:#]{0,3}$"
-CANDIDATE = (
-    r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9+/_-])(?=[A-Za-z_-]{0,40}[0-9])[A-Za-z0-9+/_-]{20,}+"
-    r"|(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{2,64}+@[A-Za-z0-9-]{2,}+(?![.A-Za-z0-9@-])"
-    rf"|(?<![\p{{L}}])(?:{ADDRESS})\.?\x20\p{{Lu}}[\p{{L}}'-]+(?:\x20\p{{Lu}}[\p{{L}}'-]+)?"
-)
-CANDIDATE_GUARD = rf"[0-9](?:[\x20().-]{{0,2}}[0-9]){{6}}|[A-Za-z0-9+/_-]{{20}}|@|(?:{ADDRESS})\.?\x20\p{{Lu}}"
+ISSUERS = "^(?:4[0-9]{15}|5[1-5][0-9]{14}|3[47][0-9]{13}|6011[0-9]{12})$"
+COUNTRIES = "^(?:00)?(?:1|33|34|44|49)[0-9]{8,11}$"
+KEYS = "^(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})$"
+WORDY = "^[A-Za-z]{2,}(?:[-_/+][A-Za-z]{2,})+[-_/+]?[0-9]*$"
+REACH = 40
+CANDIDATE = r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]{0,2}+[0-9]){6,}+(?![A-Za-z0-9])|(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+"
+CANDIDATE_GUARD = r"[0-9](?:[\x20().-]{0,2}[0-9]){6}|[A-Za-z0-9+/_-]{20}"
 
 LABELERS = 4
-THRESHOLD, ROUNDS = 0.5, 60
+THRESHOLD, ROUNDS = 0.5, 200
 #: kinds x vote patterns x feature values.
 TABLE_LIMIT = len(EXTRA) * 3**LABELERS * 64
 
-_NONE = "cast(array() as array<struct<start:int,end:int,m:string,before:string>>)"
+_LOCATED = "array<struct<start:int,end:int,m:string,before:string>>"
+_NONE = f"cast(array() as {_LOCATED})"
+
+
+def _bind(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _fold(values: str, step: str) -> str:
+    """All running results of ``step`` (over s and x, from 0) of a short array."""
+    return f"aggregate({values}, cast(array() as array<int>), (acc, x) -> concat(acc, array({_bind('coalesce(get(acc, size(acc) - 1), 0)', 's', step)})))"
+
+
+def running(values: str, step: str) -> str:
+    """All running results of an associative ``step`` (over s and x, from 0) of an array, in blocks of the root of its size."""
+    blocks = f"transform(sequence(0, (size(v) - 1) div n), b -> {_fold('slice(v, b * n + 1, n)', step)})"
+    ends = _fold("transform(w, y -> y[size(y) - 1])", step)
+    joined = _bind(ends, "e", f"flatten(transform(w, (y, i) -> transform(y, x -> {_bind('coalesce(get(e, i - 1), 0)', 's', step)})))")
+    whole = _bind(values, "v", _bind("cast(ceil(sqrt(size(v))) as int)", "n", _bind(blocks, "w", joined)))
+    return f"if(size({values}) = 0, cast(array() as array<int>), {whole})"
 
 
 def _located(matches: str, gaps: str) -> str:
-    """Matches with offsets and up to 40 characters before them, from the matches and the text between them."""
-    return f"""if(size({matches}) = 0, {_NONE}, aggregate(
-        zip_with({matches}, slice({gaps}, 1, size({matches})), (m, g) -> named_struct('m', m, 'g', g)),
-        named_struct('pos', 0, 'out', {_NONE}),
-        (s, x) -> named_struct('pos', s.pos + length(x.g) + length(x.m), 'out', concat(s.out, array(named_struct(
-            'start', s.pos + length(x.g), 'end', s.pos + length(x.g) + length(x.m), 'm', x.m, 'before', right(x.g, 40))))),
-        s -> s.out))"""
+    """Matches with offsets and the characters just before them, from the matches and the text between them."""
+    ends = running(f"transform({matches}, (m, i) -> length(m) + length({gaps}[i]))", "s + x")
+    rows = f"transform({matches}, (m, i) -> named_struct('start', at[i] - length(m), 'end', at[i], 'm', m, 'before', right({gaps}[i], {REACH})))"
+    return f"if(size({matches}) = 0, {_NONE}, {_bind(ends, 'at', rows)})"
+
+
+def _rewritten(text: str, spans: str, piece: str) -> str:
+    """``text`` with something else in the place of each of ``spans`` (sorted by start).
+
+    ``piece`` gives it from y: from (the furthest end before), start, end (the furthest so far), kind.
+    """
+    rows = f"transform({spans}, (x, i) -> named_struct('from', coalesce(get(ends, i - 1), 0), 'start', x.start, 'end', ends[i], 'kind', x.kind))"
+    part = f"substring({text}, k[0].from + 1, k[size(k) - 1].end - k[0].from)"
+    inner = f"array_join(transform(k, y -> concat(substring(part, y.from - k[0].from + 1, greatest(y.start - y.from, 0)), {piece})), '')"
+    blocks = f"transform(sequence(0, (size(r) - 1) div n), b -> {_bind('slice(r, b * n + 1, n)', 'k', _bind(part, 'part', inner))})"
+    whole = _bind(rows, "r", _bind("cast(ceil(sqrt(size(r))) as int)", "n", f"concat(array_join({blocks}, ''), substring({text}, ends[size(ends) - 1] + 1))"))
+    furthest = running(f"transform({spans}, z -> z.end)", "greatest(s, x)")
+    return f"if(size({spans}) = 0, {text}, {_bind(furthest, 'ends', whole)})"
 
 
 _DIGITS = "regexp_replace(x.m, '[^0-9]', '')"
@@ -86,110 +122,128 @@ CHECKS = {
 }
 
 
+def _matched(docs: DataFrame, kind: str, text: str, pattern: str, guard: Column) -> DataFrame:
+    """``docs`` plus __kind, the located matches of a pattern."""
+    none = F.array().cast("array<string>")
+    out = docs.withColumn("__go", guard).withColumn("__m", F.when(F.col("__go"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
+    out = out.withColumn("__g", F.when(F.size("__m") > 0, F.split(text, pattern, -1)).otherwise(none))
+    located = _located("__m", "__g")
+    return out.withColumn(f"__{kind}", F.expr(f"filter({located}, x -> {CHECKS[kind]})" if kind in CHECKS else located)).drop("__go", "__m", "__g")
+
+
 def _found(docs: DataFrame, text_col: str) -> DataFrame:
-    """``docs`` with __text, the base spans __email .. __phone and the candidates __cand."""
+    """``docs`` with __text, the base spans __email .. __phone, all of them as __base, and the candidates elsewhere as __cand."""
     out = docs.withColumn("__text", F.coalesce(F.col(text_col), F.lit("")))
-    for kind, pattern in (*zip(KINDS, (EMAIL, IP, CARD, PHONE)), ("cand", CANDIDATE)):
-        guard = F.col("__text").contains("@") if kind == "email" else F.col("__text").rlike(GUARDS.get(kind, CANDIDATE_GUARD))
-        out = out.withColumn(f"__go_{kind}", guard)
-        none = F.array().cast("array<string>")
-        out = out.withColumn(f"__m_{kind}", F.when(F.col(f"__go_{kind}"), F.regexp_extract_all("__text", F.lit(pattern), F.lit(0))).otherwise(none))
-        out = out.withColumn(f"__g_{kind}", F.when(F.size(f"__m_{kind}") > 0, F.split("__text", pattern, -1)).otherwise(none))
-        located = _located(f"__m_{kind}", f"__g_{kind}")
-        out = out.withColumn(f"__{kind}", F.expr(f"filter({located}, x -> {CHECKS[kind]})" if kind in CHECKS else located))
-        out = out.drop(f"__go_{kind}", f"__m_{kind}", f"__g_{kind}")
+    for kind, pattern in zip(KINDS, (EMAIL, IP, CARD, PHONE)):
+        out = _matched(out, kind, "__text", pattern, F.col("__text").contains("@") if kind == "email" else F.col("__text").rlike(GUARDS[kind]))
     base = ", ".join(f"transform(__{k}, x -> named_struct('start', x.start, 'rank', {i}, 'end', x.end, 'kind', '{k}'))" for i, k in enumerate(KINDS))
-    return out.withColumn("__base", F.expr(f"array_sort(concat({base}))"))
+    out = out.withColumn("__base", F.expr(f"array_sort(concat({base}))"))
+    blank = "repeat('\\u0001', y.end - greatest(y.start, y.from))"
+    out = out.withColumn("__rest", F.expr(_rewritten("__text", "__base", blank)))
+    return _matched(out, "cand", "__rest", CANDIDATE, F.col("__rest").rlike(CANDIDATE_GUARD))
 
 
 def _judged(found: DataFrame) -> DataFrame:
-    """Adds __judged: each candidate's kind, votes and feature values."""
+    """Adds __judged: kind, votes and feature values of each candidate and each base span of digits."""
     digits, n = _DIGITS, f"length({_DIGITS})"
-    kind = f"case when x.m rlike '^(?:{ADDRESS})[. ]' then 'name' when contains(x.m, '@') then 'handle' when x.m rlike '[A-Za-z]' then 'secret' else 'number' end"
-    kind = kind.replace("\\", "\\\\")
-    over = "exists(__base, b -> b.start < x.end and x.start < b.end)"
     quote = lambda p: "'" + p.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    regex = f"case when {over} then 1 when x.m rlike '[A-Za-z]' then 0 when {n} between 9 and 19 then 0 else -1 end"
-    gazetteer = (
-        f"case when x.m rlike {quote(KEY_PREFIXES)} or x.m rlike '^[0-9a-f]{{32}}$|^[0-9a-f]{{40}}$|^[0-9a-f]{{64}}$' then 1"
-        f" when x.m rlike '^(?:{ADDRESS})[. ]' then 1"
-        f" when {digits} rlike '^(?:4[0-9]{{15}}|5[1-5][0-9]{{14}}|3[47][0-9]{{13}}|6011[0-9]{{12}})$' then 1"
-        f" when {digits} rlike '^00(?:1|33|34|44|49)[0-9]{{8,11}}$' then 1 else 0 end"
+    distinct = lambda of: f"size(array_distinct(split({of}, '')))"
+    letters = "x.m rlike '[A-Za-z]'"
+    kind = f"if({letters}, 'secret', 'number')"
+    regex = (
+        f"case when x.over then 1 when {letters} then case when x.m rlike '{KEYS}' or x.m rlike {quote(KEY_PREFIXES)} then 1 when x.m rlike '{WORDY}' then -1 else 0 end"
+        f" when {n} between 9 and 13 then 0 else -1 end"
     )
-    context = f"case when x.before rlike {quote(CONTEXT)} then 1 when x.before rlike {quote(AGAINST)} then -1 else 0 end"
-    shape = (
-        f"case when x.m rlike {quote('^(.)(?:[ ().-]{0,2}' + chr(92) + '1)*+$')} then -1"
-        f" when x.m rlike '[A-Za-z]' and not x.m rlike '[@ ]' then if(size(array_distinct(split(x.m, ''))) >= 10, 1, -1)"
-        f" when {n} >= 9 and size(array_distinct(split({digits}, ''))) <= 2 then -1 else 0 end"
+    gazetteer = (
+        f"case when {letters} then case when x.m rlike {quote(KEY_PREFIXES)} then 1 when x.m rlike '{KEYS}' then 0 else -1 end"
+        f" when x.m rlike '^[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+$' then 0 when {digits} rlike '{ISSUERS}' or {digits} rlike '{COUNTRIES}' then 1 else -1 end"
     )
+    context = f"if(x.before rlike {quote(CONTEXT)}, 1, -1)"
+    shape = f"if({letters}, if({distinct('x.m')} >= 10, 1, -1), if({distinct(digits)} >= 5, 1, -1))"
     features = [
         "concat('len', cast(least(floor(log2(length(x.m))), 9) as string))",
         f"concat('digits', cast(floor(4 * {n} / length(x.m)) as string))",
         "concat('sep', case when not x.m rlike '[ ().-]' then 'none' when x.m rlike '^[^().-]*$' then 'space' when x.m rlike '^[^ ().]*$' then 'hyphen' when x.m rlike '^[^ ()-]*$' then 'dot' else 'mixed' end)",
         "concat('case', case when x.m rlike '^[^A-Z]*$' then 'lower' when x.m rlike '^[^a-z]*$' then 'upper' else 'both' end)",
         "concat('left', case when x.before = '' then 'edge' when x.before rlike '[=:][ \"\\']{0,2}$' then 'assign' when x.before rlike ' $' then 'space' else 'other' end)",
-        f"concat('ctx', {context})",
-        f"concat('gaz', {gazetteer})",
+        f"concat('rgx', {regex})", f"concat('ctx', {context})", f"concat('gaz', {gazetteer})", f"concat('shp', {shape})",
     ]
-    judged = f"""transform(__cand, x -> named_struct('start', x.start, 'end', x.end, 'kind', {kind}, 'over', {over},
+    known = "concat(" + ", ".join(f"transform(__{k}, x -> named_struct('start', x.start, 'end', x.end, 'm', x.m, 'before', x.before, 'over', true))" for k in KINDS[1:])
+    every = known + ", transform(__cand, x -> named_struct('start', x.start, 'end', x.end, 'm', x.m, 'before', x.before, 'over', false)))"
+    judged = f"""transform({every}, x -> named_struct('start', x.start, 'end', x.end, 'kind', {kind}, 'over', x.over,
         'votes', concat_ws(',', {regex}, {gazetteer}, {context}, {shape}), 'features', array({', '.join(features)})))"""
     return found.withColumn("__judged", F.expr(judged))
 
 
-def learn_reliabilities(patterns: dict[tuple[int, ...], int]) -> tuple[dict[tuple[int, ...], float], list[tuple[float, float]]]:
-    """EM over vote patterns: posterior of each pattern, and per labeler P(votes + | span) and P(votes + | no span)."""
-    post = {v: min(0.9, max(0.1, 0.5 + 0.2 * sum(v))) for v in patterns}
+#: How often a labeler is assumed right, and in how many votes, before any is counted.
+RIGHT, OF = 2.0, 3.0
+
+
+def learn_reliabilities(patterns: dict[tuple, int], sure: set[tuple] = frozenset()) -> tuple[dict[tuple, float], list[tuple[float, float]], dict[str, float]]:
+    """EM over (kind, vote, vote, ...) patterns.
+
+    The posterior of each pattern, per labeler P(votes + | span) and P(votes + | no span) over all
+    kinds, and each kind's share of spans. Patterns that are ``sure`` are spans.
+    """
+    post = {v: 1.0 if v in sure else min(0.9, max(0.1, 0.5 + 0.2 * sum(v[1:]))) for v in patterns}
     rates: list[tuple[float, float]] = []
+    shares: dict[str, float] = {}
     for _ in range(ROUNDS):
-        total = sum(patterns.values())
-        prior = (1 + sum(n * post[v] for v, n in patterns.items())) / (2 + total)
+        shares = {}
+        for kind in {v[0] for v in patterns}:
+            mine = [(n, post[v]) for v, n in patterns.items() if v[0] == kind and v not in sure]
+            shares[kind] = (1 + sum(n * q for n, q in mine)) / (2 + sum(n for n, _ in mine))
         rates = []
-        for j in range(LABELERS):
-            # pseudo-counts: a labeler is right four times out of five before any data
-            up, of_up = 4.0, 5.0
-            down, of_down = 1.0, 5.0
+        for j in range(1, LABELERS + 1):
+            up, of_up, down, of_down = RIGHT, OF, OF - RIGHT, OF
             for v, n in patterns.items():
                 if v[j]:
                     of_up, of_down = of_up + n * post[v], of_down + n * (1 - post[v])
                     if v[j] > 0:
                         up, down = up + n * post[v], down + n * (1 - post[v])
             rates.append((up / of_up, down / of_down))
+        moved = 0.0
         for v in patterns:
-            odds = math.log(prior / (1 - prior))
-            for j, (a, b) in enumerate(rates):
-                if v[j]:
-                    odds += math.log(a / b) if v[j] > 0 else math.log((1 - a) / (1 - b))
-            post[v] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-    return post, rates
+            if v in sure:
+                continue
+            odds = math.log(shares[v[0]] / (1 - shares[v[0]]))
+            for vote, (a, b) in zip(v[1:], rates):
+                if vote:
+                    odds += math.log(a / b) if vote > 0 else math.log((1 - a) / (1 - b))
+            new = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
+            moved, post[v] = max(moved, abs(new - post[v])), new
+        if moved < 1e-9:
+            break
+    return post, rates, shares
 
 
 class SpanModel:
-    """Weights of the span classifier: (kind, feature value) -> log odds, and a bias for each kind."""
+    """Weights of the span classifier: (kind, feature value) -> log odds, and a bias for each kind; the labelers' reliabilities."""
 
-    def __init__(self, bias: dict[str, float], weights: dict[tuple[str, str], float], reliabilities: dict[str, list[tuple[float, float]]]):
+    def __init__(self, bias: dict[str, float], weights: dict[tuple[str, str], float], reliabilities: list[tuple[float, float]]):
         self.bias, self.weights, self.reliabilities = bias, weights, reliabilities
 
     @classmethod
     def fit(cls, docs: DataFrame, text_col: str = "text") -> SpanModel:
-        judged = _judged(_found(docs.select(F.col(text_col).alias("__t")), "__t")).select(F.explode("__judged").alias("c"))
+        # an inner explode would have its emptiness test pushed down, and all of the above with it
+        judged = _judged(_found(docs.select(F.col(text_col).alias("__t")), "__t")).select(F.explode_outer("__judged").alias("c")).where("c is not null")
         table = (
-            judged.select("c.kind", "c.votes", F.explode(F.concat(F.col("c.features"), F.array(F.lit("")))).alias("feature"))
-            .groupBy("kind", "votes", "feature").agg(F.count(F.lit(1)).alias("n"))
+            judged.select("c.kind", "c.votes", "c.over", F.explode(F.concat(F.col("c.features"), F.array(F.lit("")))).alias("feature"))
+            .groupBy("kind", "votes", "over", "feature").agg(F.count(F.lit(1)).alias("n"))
         )
         rows = table.collect()  # at most TABLE_LIMIT rows: every factor has a fixed domain
-        bias, weights, reliabilities = {}, {}, {}
-        for kind in EXTRA:
-            mine = [(tuple(map(int, r["votes"].split(","))), r["feature"], r["n"]) for r in rows if r["kind"] == kind]
-            patterns = {v: n for v, f, n in mine if f == ""}
-            if not patterns:
-                continue
-            post, reliabilities[kind] = learn_reliabilities(patterns)
-            yes = 1 + sum(n * post[v] for v, n in patterns.items())
-            no = 1 + sum(n * (1 - post[v]) for v, n in patterns.items())
-            bias[kind] = math.log(yes / no)
-            for feature in {f for _, f, _ in mine if f}:
-                a = 0.5 + sum(n * post[v] for v, f, n in mine if f == feature)
-                b = 0.5 + sum(n * (1 - post[v]) for v, f, n in mine if f == feature)
+        pattern = lambda r: (r["kind"], *map(int, r["votes"].split(",")), *(["base"] if r["over"] else []))
+        patterns = {pattern(r): r["n"] for r in rows if r["feature"] == ""}
+        post, reliabilities, shares = learn_reliabilities(patterns, {v for v in patterns if v[-1] == "base"})
+        bias, weights = {}, {}
+        for kind, share in shares.items():
+            # what candidates of this kind look like with and without a span; the share of spans is that of candidates, not of base spans
+            mine = [(post[pattern(r)], r["feature"], r["n"], r["over"]) for r in rows if r["kind"] == kind]
+            yes, no = 1 + sum(n * q for q, f, n, _ in mine if f == ""), 1 + sum(n * (1 - q) for q, f, n, _ in mine if f == "")
+            bias[kind] = math.log(share / (1 - share))
+            for feature in {f for _, f, _, _ in mine if f}:
+                a = 0.5 + sum(n * q for q, f, n, _ in mine if f == feature)
+                b = 0.5 + sum(n * (1 - q) for q, f, n, _ in mine if f == feature)
                 weights[kind, feature] = math.log(a / yes / (b / no))
         return cls(bias, weights, reliabilities)
 
@@ -229,10 +283,7 @@ def find_spans(docs: DataFrame, text_col: str = "text", model: SpanModel | None
 def mask(docs: DataFrame, text_col: str = "text", model: SpanModel | None = None) -> DataFrame:
     """``docs`` with every span of the text replaced by its kind in brackets; n_chars, if there, follows the text."""
     model = model or SpanModel.fit(docs, text_col)
-    masked = """if(size(__spans) = 0, __text, aggregate(__spans, named_struct('pos', 0, 'out', ''),
-        (s, x) -> if(x.start < s.pos, named_struct('pos', greatest(s.pos, x.end), 'out', s.out), named_struct('pos', x.end,
-            'out', concat(s.out, substring(__text, s.pos + 1, x.start - s.pos), '[', upper(x.kind), ']'))),
-        s -> concat(s.out, substring(__text, s.pos + 1))))"""
+    masked = _rewritten("__text", "__spans", "if(y.start >= y.from, concat('[', upper(y.kind), ']'), '')")
     columns = docs.columns
     out = model.annotate(docs, text_col).withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.expr(masked)))
     if "n_chars" in columns:
