@@ -41,7 +41,7 @@ def key_values(df: DataFrame, sep: str = "\t", until_blank: bool = False) -> Dat
 
 def header_row(df: DataFrame, starts: str, names: list[str], sep: str = "\t") -> DataFrame:
     """The line after the first one that starts with ``starts``, by the header's names."""
-    at = df.where(F.col("text").startswith(starts)).groupBy("file").agg(F.min_by("text", "line").alias("__head"), F.min("line").alias("__at"))
-    row = df.join(at, (df["file"] == at["file"]) & (df["line"] == at["__at"] + 1)).select(df["file"], F.split("__head", sep).alias("h"), F.split("text", sep).alias("v"))
+    at = df.where(F.col("text").startswith(starts)).groupBy("file").agg(F.min_by("text", "line").alias("__head"), (F.min("line") + 1).alias("line"))
+    row = df.join(at, ["file", "line"]).select("file", F.split("__head", sep).alias("h"), F.split("text", sep).alias("v"))
     place = lambda n: F.array_position("h", F.lit(n)).cast("int")
     return row.select("file", *[F.when(place(n) > 0, F.get("v", place(n) - 1)).alias(n.lower()) for n in names])

@@ -89,7 +89,7 @@ def alignment_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     quality = lambda t, n: s[t].groupBy("file").agg(weighted_mean(F.col("quality"), F.col("n")).alias(n))
     gc = lambda t, n: s[t].groupBy("file").agg(weighted_mean(F.col("gc"), F.col("n")).alias(n))
     indels = s["ID"].groupBy("file").agg(weighted_mean(F.col("length"), F.col("insertions")).alias("mean_insertion"), weighted_mean(F.col("length"), F.col("deletions")).alias("mean_deletion"))
-    covered = s["COV"].groupBy("file").agg((F.sum(F.when(F.col("depth") >= 10, F.col("n"))) / F.greatest(F.sum("n"), F.lit(1e-6))).alias("covered_10"))
+    covered = s["COV"].groupBy("file").agg((F.sum(F.when(F.col("depth") >= 10, F.col("n")).otherwise(0.0)) / F.greatest(F.sum("n"), F.lit(1e-6))).alias("covered_10"))
     for t in (quality("FFQ", "quality_first"), quality("LFQ", "quality_last"), gc("GCF", "gc_first"), gc("GCL", "gc_last"), indels, covered):
         out = out.join(t, "file", "left")
     return out
