@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strandline.llm.shared import held, materialize, read_table_files, scratch
+from strandline.llm.shared import forget, held, materialize, read_table_files, scratch
 
 ORDER = 4
 HASH_BITS = 21
@@ -106,6 +106,7 @@ def _fold(counter: Counter, into: dict) -> None:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     words: dict[str, Counter] = {}
     grams: dict[str, dict] = {}
     for batch in batches:
@@ -324,7 +325,8 @@ def identify(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns unchanged; ``lang`` becomes the predicted language where it was null."""
     columns = docs.columns
+    at = {c: f"__c{i}" for i, c in enumerate(columns)}  # the input's own score, rejected, ... are not touched
     model = LanguageIdentifier.fit(docs, learn=LEARNABLE)
-    model.calibrate(materialize(model.score(docs, keep=["doc_id", "lang"]), "langid-scores").where(LEARNABLE))
-    kept = model.decide(model.score(docs)).where(~F.col("rejected"))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)
+    model.calibrate(materialize(model.score(docs.select("doc_id", "text", "lang"), keep=["doc_id", "lang"]), "langid-scores").where(LEARNABLE))
+    kept = model.decide(model.score(docs.toDF(*at.values()), at["text"])).where(~F.col("rejected"))
+    return kept.select(*[(F.coalesce(at[c], "lang_pred") if c == "lang" else F.col(at[c])).alias(c) for c in columns])

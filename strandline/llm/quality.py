@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandline.llm.shared import by_split, materialize, read_side, with_rows, write_side
+from strandline.llm.shared import by_split, forget, materialize, read_side, with_rows, write_side
 
 ORDER = 5
 QUANTILE, MARGIN, PRIOR = 0.99, 1.1, 60.0
@@ -57,6 +57,7 @@ def _count(uri: str):
     """Partial n-gram counts of trusted texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         words: Counter = Counter()
         counts: Counter = Counter()
         at, trusted = None, frozenset()
@@ -94,6 +95,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = every[k : k + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array([split] * len(part), pa.int64()), pa.array(part, pa.string())], names=["__split", "gram"])
 
+    forget()
     at, found, words = None, set(), set()
     for split, batch in by_split(batches, 1):
         if split != at:

@@ -66,11 +66,23 @@ def read_table_files(uri: str):
 _HELD: dict = {}
 
 
+def forget() -> None:
+    """Give back what a Python worker keeps; its memory goes to the system, not to the allocators' reserves."""
+    import ctypes
+
+    _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def held(key: tuple, make):
     """What a Python worker keeps between tasks: one thing at a time, so that stages of different operators don't add up."""
     if key not in _HELD:
-        _HELD.clear()
-        gc.collect()
+        forget()
         _HELD[key] = make()
     return _HELD[key]
 

@@ -26,7 +26,7 @@ from strandline.llm.shared import held
 
 KEPT = 300_000
 #: Bytes of text that are encoded at a time.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 #: Punctuation that is a pre-token of its own after a letter or digit (the apostrophe may start a contraction).
 _TAIL = ".,;:!?#$%&*|"
 #: Letters of words that are one pre-token and stay letters under the vocabularies' normalisation.

@@ -421,6 +421,15 @@ def test_language_id_rejects_a_third_of_rows_and_a_single_long_one(spark):
     assert sum(v for k, v in got.items() if k < 2_000_000) <= 0.02 * n
 
 
+def test_language_stage_leaves_columns_of_result_names_alone(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").selectExpr("doc_id", "text", "lang", "'mine' as score", "doc_id as rejected", "'own' as lang_pred", "1 as xent", "2 as margin", "3 as n_letters", "4 as `a b`")
+    kept = langid.keep_identified(docs)
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert len(rows) > 100 and all((r["score"], r["rejected"], r["lang_pred"], r["xent"], r["margin"], r["n_letters"]) == ("mine", r["doc_id"], "own", 1, 2, 3) for r in rows)
+    assert langid.keep_identified(docs.limit(0)).count() == 0
+
+
 def test_language_id_without_anything_to_learn(spark):
     df = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in langid.identify(df).collect()] == ["und", "und"]
