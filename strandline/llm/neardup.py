@@ -4,9 +4,9 @@ Similarity. Texts are compared by their sets of ``WIDTH``-word shingles (words a
 short texts as in ``simhash``); two are near copies if the Jaccard similarity of the
 sets is ``SIMILARITY`` or more, which is checked exactly.
 
-Candidates. A text's fingerprint has ``64 * WORDS`` SimHash bits. At the least similarity
+Candidates. Texts with equal sets collapse first. A set's fingerprint has ``64 * WORDS`` SimHash bits. At the least similarity
 a bit differs with probability ``DIFFER``, so the radius is that share of the bits plus
-two standard deviations. Equal fingerprints collapse first. The index's upper nodes are
+two standard deviations. The index's upper nodes are
 (mask, masked pattern) pairs as in ``simhash``; masks are random sets of bits, so many
 that two near copies share a node with probability ``RECALL``, and so long that a node
 has a few unrelated fingerprints whatever their number: a mask has ``log2(n) - 3`` bits
@@ -18,8 +18,14 @@ mask to mask. A node's near pairs are thinned to a spanning forest, nearest firs
 what is connected at any distance stays connected and large groups add no pair for
 every two members.
 
-Texts that are in a pair send their shingle hashes to the exact check; no other text
-leaves its split. Which rows stay travels back to the scan by file and row number.
+Texts that are in a pair send their shingle hashes to the exact check. Forests, stretches,
+task borders and masks leave out pairs, so the links found so far only contract the texts,
+and an exact way finds every link between the rest: two sets as similar as that share one
+of their first ``n - ceil(SIMILARITY * n) + 1`` shingles in any one order of all shingles
+(rare ones first here; how rare is told by a sample, which bears on the cost alone). Each
+text sends these, texts of different groups that share one are a pair unless their sizes
+or the places of that shingle rule it out, and the pairs go to the same exact check.
+Which rows stay travels back to the scan by file and row number.
 
 Edge cases. Null and empty texts are copies of each other. The row with the least id
 stays, the first in the input on ties; null ids come last. Repeated rows are copies.
@@ -39,13 +45,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strandline.llm.components import connected_components
-from strandline.llm.shared import by_split, forget, materialize, read_side, with_rows, write_side
+from strandline.llm.shared import by_split, forget, held, materialize, read_side, read_table_files, scratch, with_rows, write_side
 from strandline.llm.simhash import LEAF, _signed, _Union, gray_rank, near_pairs, shingle_hashes
 
 WIDTH, SIMILARITY = 5, 0.8
 WORDS, RECALL, SEED = 4, 0.95, 5
 WINDOW, SPAN = 2048, 1 << 20
 _SLICE = 100_000
+#: Texts whose shingles tell the rare from the frequent, and comparisons done at once.
+SAMPLE, STEP = 10_000, 1 << 21
 #: Probability that a bit differs at the least similarity (the angle between two sets of that overlap).
 DIFFER = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
 RADIUS = math.floor(64 * WORDS * DIFFER + 2 * math.sqrt(64 * WORDS * DIFFER * (1 - DIFFER)))
@@ -54,7 +62,7 @@ _CODE = [f"f{k}" for k in range(WORDS)]
 
 
 def fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """The SimHash words of one text's shingle hashes; zero without any."""
+    """The SimHash words of one text's different shingle hashes; zero without any."""
     ones = np.zeros(64 * WORDS, np.int64)
     for at in range(0, len(hashes), _SLICE):
         x = hashes[at : at + _SLICE, None] * _ODD
@@ -188,24 +196,144 @@ def near_copies(docs: DataFrame, text_col: str, pairs: DataFrame, uniq: DataFram
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
+def _frequent(docs: DataFrame, text_col: str, count: int) -> str:
+    """A table (token, n) of the shingles that occur in three or more texts of a sample."""
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(shingle_hashes(t, WIDTH)).view(np.int64))], names=["token"])
+
+    some = docs.where(F.pmod(F.xxhash64("__row", "__split"), F.lit(max(1, count // SAMPLE))) == 0).select(text_col)
+    uri = scratch(docs.sparkSession, "frequent")
+    some.mapInArrow(tokens, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n >= 3").write.parquet(uri)
+    return uri
+
+
+def prefix(hashes: np.ndarray, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The shingles of a set, rarest first, of which a near copy shares one; ``tokens``, sorted, occur ``counts`` times."""
+    times = np.zeros(len(hashes), np.int64)
+    if len(tokens):
+        at = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
+        times = np.where(tokens[at] == hashes, counts[at], 0)
+    return hashes[np.lexsort((hashes, times))][: len(hashes) - math.ceil(SIMILARITY * len(hashes) - 1e-9) + 1]
+
+
+def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows (token, node, root, n, after) with a token in common; a partition's rows come sorted by token."""
+
+    def fits(x: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        _, _, root, n, after = x
+        least = SIMILARITY / (1 + SIMILARITY) * (n[i] + n[j]) - 1e-9
+        # of the first shingle in common, all others come after it
+        return (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= least) & (np.minimum(after[i], after[j]) + 1 >= least)
+
+    def pairs(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        same = x[0][1:] == x[0][:-1]
+        x = [c[np.append(False, same) | np.append(same, False)] for c in x]
+        new = np.append(True, x[0][1:] != x[0][:-1])
+        size = np.bincount(np.cumsum(new) - 1) if len(x[0]) else np.zeros(0, np.int64)
+        small = np.repeat(size <= LEAF, size)
+        found = []
+        for k in range(1, min(LEAF, len(x[0]))):
+            i = np.nonzero(small[:-k] & (x[0][:-k] == x[0][k:]))[0]
+            i = i[fits(x, i, i + k)]
+            found.append((i, i + k))
+        start = np.cumsum(size) - size
+        for at, m in zip(start[size > LEAF].tolist(), size[size > LEAF].tolist()):
+            rows = max(1, STEP // m)
+            for own in range(at, at + m, rows):
+                i, j = np.arange(own, min(own + rows, at + m))[:, None], np.arange(own, at + m)[None, :]
+                i, j = np.nonzero((i < j) & fits(x, i, j))
+                found.append((i + own, j + own))
+                if sum(len(f[0]) for f in found) > STEP:
+                    yield out(x[1], found)
+                    found = []
+        if found:
+            yield out(x[1], found)
+
+    def out(node: np.ndarray, found: list) -> pa.RecordBatch:
+        a, b = (node[np.concatenate(f)] for f in zip(*found))
+        ab = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in ab], names=["a", "b"])
+
+    waiting: list = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        now = [np.asarray(c) for c in batch.columns]
+        last = np.nonzero(now[0] != now[0][-1])[0]
+        cut = int(last[-1]) + 1 if len(last) else 0
+        # a token's rows wait for each other
+        if cut or (waiting and waiting[-1][0][-1] != now[0][0]):
+            yield from pairs([np.concatenate(c) for c in zip(*waiting, [x[:cut] for x in now])])
+            waiting = []
+        waiting.append([x[cut:] for x in now])
+    if waiting:
+        yield from pairs([np.concatenate(c) for c in zip(*waiting)])
+
+
+def remaining_pairs(docs: DataFrame, text_col: str, uniq: DataFrame, roots: DataFrame) -> DataFrame:
+    """(a, b) of all nodes of different roots that can be near copies; ``uniq``: node, x; ``docs`` with __split and __row."""
+    order = _frequent(docs, text_col, uniq.count())
+    named = uniq.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.col("x.__split").alias("__split"), F.col("x.__row").alias("row"))
+    uri = write_side(named, "prefixes")
+
+    def load() -> tuple[np.ndarray, np.ndarray]:
+        table = read_table_files(order)
+        tokens = table.column("token").to_numpy().view(np.uint64)
+        at = np.argsort(tokens)
+        return tokens[at], table.column("n").to_numpy()[at]
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held(("shingle order", order), load)
+        at, wanted = None, {}
+        for split, batch in by_split(batches, 2):
+            if split != at:
+                side = read_side(uri, split)
+                at, wanted = split, dict(zip(side.column("row").to_pylist(), zip(side.column("node").to_pylist(), side.column("root").to_pylist()))) if side is not None else {}
+            numbers = batch.column(1).to_pylist()
+            here = [k for k, r in enumerate(numbers) if r in wanted]
+            for k in range(0, len(here), 200):
+                some = here[k : k + 200]
+                sets = [np.unique(shingle_hashes(t, WIDTH)) for t in batch.column(0).take(pa.array(some)).to_pylist()]
+                first = [prefix(x, *known) if len(x) else x for x in sets]
+                long = [len(x) for x in first]
+                node, root = (np.repeat(np.array(c, np.int64), long) for c in zip(*[wanted[numbers[r]] for r in some]))
+                n = np.array([len(x) for x in sets], np.int32)
+                after = np.concatenate([len(x) - 1 - np.arange(m) for x, m in zip(sets, long)]).astype(np.int32)
+                columns = [np.concatenate(first).view(np.int64), node, root, np.repeat(n, long), after]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "node", "root", "n", "after"])
+
+    rows = docs.select(F.col(text_col).alias("__t"), "__row", "__split").mapInArrow(tokens, "token long, node long, root long, n int, after int")
+    return rows.repartition("token").sortWithinPartitions("token").mapInArrow(_share, "a long, b long").distinct()
+
+
 def keep_one(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row of each group of near copies, all columns unchanged."""
     source = with_rows(docs, SPAN)
     names, width = docs.columns, len(docs.columns)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh64_intdigest
+
         forget()
         for batch in batches:
-            got = np.array([fingerprint(shingle_hashes(t, WIDTH)) for t in batch.column(3).to_pylist()], np.uint64).reshape(-1, WORDS).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(np.ascontiguousarray(got[:, k])) for k in range(WORDS)]], names=["__id", "__split", "__row", *_CODE])
+            sets = [np.unique(shingle_hashes(t, WIDTH)) for t in batch.column(3).to_pylist()]
+            got = np.array([[*fingerprint(x), xxh64_intdigest(x.tobytes(), SEED)] for x in sets], np.uint64).reshape(-1, WORDS + 1).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(np.ascontiguousarray(c)) for c in got.T]], names=["__id", "__split", "__row", *_CODE, "__set"])
 
-    fields = [T.StructField("__id", docs.schema[id_col].dataType), *T._parse_datatype_string("__split long, __row long, " + ", ".join(f"{c} long" for c in _CODE)).fields]
+    fields = [T.StructField("__id", docs.schema[id_col].dataType), *T._parse_datatype_string("__split long, __row long, " + ", ".join(f"{c} long" for c in [*_CODE, "__set"])).fields]
     coded = source.select(F.col(id_col).alias("__id"), "__split", "__row", F.col(text_col).alias("__t")).mapInArrow(code, T.StructType(fields))
     first = F.min(F.struct(F.col("__id").isNull(), "__id", "__split", "__row")).alias("x")
-    uniq = materialize(coded.groupBy(*_CODE).agg(first).withColumn("node", F.monotonically_increasing_id()), "fingerprints")
+    uniq = materialize(coded.groupBy(*_CODE, "__set").agg(first).withColumn("node", F.monotonically_increasing_id()), "fingerprints")
     pairs = materialize(candidate_pairs(uniq.select("node", *_CODE)), "pairs")
     roots = connected_components(near_copies(source, text_col, pairs, uniq.select("node", "x")))
-    # a component's row is the least of its fingerprints' rows
+    others = materialize(remaining_pairs(source, text_col, uniq.select("node", "x"), roots), "pairs")
+    if not others.isEmpty():
+        more = near_copies(source, text_col, others, uniq.select("node", "x"))
+        roots = connected_components(roots.toDF("a", "b").unionByName(more))
+    # a component's row is the least of its sets' rows
     kept = uniq.join(roots, "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("x").alias("x"))
     uri = write_side(kept.select(F.col("x.__split").alias("__split"), F.col("x.__row").alias("row")), "kept")
 
