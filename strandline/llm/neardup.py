@@ -25,6 +25,7 @@ of their first ``n - ceil(SIMILARITY * n) + 1`` shingles in any one order of all
 (rare ones first here; how rare is told by a sample, which bears on the cost alone). Each
 text sends these, texts of different groups that share one are a pair unless their sizes
 or the places of that shingle rule it out, and the pairs go to the same exact check.
+Before whole sets are joined, counts of their hashes by bucket bound what two sets share.
 Which rows stay travels back to the scan by file and row number.
 
 Edge cases. Null and empty texts are copies of each other. The row with the least id
@@ -54,6 +55,8 @@ WINDOW, SPAN = 2048, 1 << 20
 _SLICE = 100_000
 #: Texts whose shingles tell the rare from the frequent, and comparisons done at once.
 SAMPLE, STEP = 10_000, 1 << 21
+#: Bits of a shingle's hash that choose its bucket in a set's counts.
+BUCKETS = 8
 #: Probability that a bit differs at the least similarity (the angle between two sets of that overlap).
 DIFFER = math.acos(2 * SIMILARITY / (1 + SIMILARITY)) / math.pi
 RADIUS = math.floor(64 * WORDS * DIFFER + 2 * math.sqrt(64 * WORDS * DIFFER * (1 - DIFFER)))
@@ -162,6 +165,17 @@ def candidate_pairs(uniq: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_search, "a long, b long").distinct()
 
 
+def bucket_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes lie in each bucket; 255 stands for any number from there."""
+    return np.minimum(np.bincount((hashes >> np.uint64(64 - BUCKETS)).astype(np.int64), minlength=1 << BUCKETS), 255).astype(np.uint8)
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """No two sets with these rows of bucket counts share more."""
+    least = np.minimum(a, b)
+    return np.where((least == 255).any(-1), np.inf, least.sum(-1, dtype=np.int64))
+
+
 def near_copies(docs: DataFrame, text_col: str, pairs: DataFrame, uniq: DataFrame) -> DataFrame:
     """The pairs whose shingle sets are similar enough; ``docs`` with __split and __row."""
     named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "node")
@@ -178,10 +192,21 @@ def near_copies(docs: DataFrame, text_col: str, pairs: DataFrame, uniq: DataFram
             for k in range(0, len(here), 200):
                 some = here[k : k + 200]
                 texts = batch.column(0).take(pa.array(some)).to_pylist()
-                sets = [np.unique(shingle_hashes(t, WIDTH)).tobytes() for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array([wanted[numbers[r]] for r in some], pa.int64()), pa.array(sets, pa.binary())], names=["node", "set"])
+                sets = [np.unique(shingle_hashes(t, WIDTH)) for t in texts]
+                columns = [pa.array([wanted[numbers[r]] for r in some], pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([bucket_counts(x).tobytes() for x in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([x.tobytes() for x in sets], pa.binary())], names=["node", "n", "counts", "set"])
+
+    sets = materialize(docs.select(F.col(text_col).alias("__t"), "__row", "__split").mapInArrow(shingles, "node long, n long, counts binary, set binary"), "shingles")
 
-    sets = materialize(docs.select(F.col(text_col).alias("__t"), "__row", "__split").mapInArrow(shingles, "node long, set binary"), "shingles")
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            na, nb = np.asarray(batch.column(2)), np.asarray(batch.column(3))
+            ca, cb = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, 1 << BUCKETS) for c in batch.columns[4:])
+            least = SIMILARITY / (1 + SIMILARITY) * (na + nb) - 1e-9
+            can = (np.minimum(na, nb) >= least) & (most_shared(ca, cb) >= least)
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(can)) for c in batch.columns[:2]], names=["a", "b"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,8 +217,11 @@ def near_copies(docs: DataFrame, text_col: str, pairs: DataFrame, uniq: DataFram
                 keep.append(min(len(a), len(b)) >= least - 1e-9 and len(np.intersect1d(a, b, assume_unique=True)) >= least - 1e-9)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    left, right = sets.toDF("a", "sa"), sets.toDF("b", "sb")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    counts = sets.select("node", "n", "counts")
+    both = pairs.join(counts.toDF("a", "na", "ca"), "a").join(counts.toDF("b", "nb", "cb"), "b").select("a", "b", "na", "nb", "ca", "cb")
+    can = materialize(both.mapInArrow(bound, "a long, b long"), "pairs")
+    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+    return can.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def _frequent(docs: DataFrame, text_col: str, count: int) -> str:

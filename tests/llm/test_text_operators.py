@@ -213,6 +213,15 @@ def test_near_copies_share_a_shingle_of_their_prefixes():
             assert len(np.intersect1d(neardup.prefix(x, known, counts), neardup.prefix(y, known, counts)))
 
 
+def test_bucket_counts_bound_what_two_sets_share():
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**63, 200_000).astype(np.uint64) * np.uint64(2)
+    for n, m in ((0, 5), (3, 9), (300, 330), (4000, 5000), (120_000, 150_000)):
+        x, y = np.unique(rng.choice(pool, n)), np.unique(rng.choice(pool, m))
+        most = neardup.most_shared(neardup.bucket_counts(x)[None], neardup.bucket_counts(y)[None])[0]
+        assert len(np.intersect1d(x, y)) <= most
+
+
 @pytest.mark.parametrize("size", [1, 7, 1000])
 def test_shared_shingles_give_every_pair_that_fits(size):
     """Groups of a few and of many rows, cut anywhere by batches."""
