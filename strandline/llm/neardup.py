@@ -220,7 +220,8 @@ def near_copies(docs: DataFrame, text_col: str, pairs: DataFrame, uniq: DataFram
     counts = sets.select("node", "n", "counts")
     both = pairs.join(counts.toDF("a", "na", "ca"), "a").join(counts.toDF("b", "nb", "cb"), "b").select("a", "b", "na", "nb", "ca", "cb")
     can = materialize(both.mapInArrow(bound, "a long, b long"), "pairs")
-    left, right = sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
+    few = sets.join(can.select("a").union(can.select("b")).distinct().toDF("node"), "node", "left_semi")
+    left, right = few.select(F.col("node").alias("a"), F.col("set").alias("sa")), few.select(F.col("node").alias("b"), F.col("set").alias("sb"))
     return can.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
