@@ -34,6 +34,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +45,9 @@ ORDER = 4
 HASH_BITS = 21
 FOLDS = 5
 #: Distinct words that a task keeps before it folds them into n-gram counts.
-WORDS_KEPT = 250_000
+WORDS_KEPT = 120_000
+#: Words that are cut into n-grams at once, and documents and bytes of text that are split at once: two workers share an executor with Spark's heap.
+WORDS_AT_ONCE, ROWS_AT_ONCE, BYTES_AT_ONCE = 20_000, 250, 500_000
 #: Allowed distance from the median, in (robust) standard deviations, the least deviation assumed (nats a character), and the documents a length class needs.
 REJECT_SIGMAS, LEAST_SIGMA, LEAST_ROWS = 6.0, 0.15, 20
 
@@ -86,8 +89,8 @@ def _fold(counter: Counter, into: dict) -> None:
             merged[w] = merged.get(w, 0) + n
     counter.clear()
     words, size = list(merged), 1 << HASH_BITS
-    for at in range(0, len(words), 200_000):
-        part = words[at : at + 200_000]
+    for at in range(0, len(words), WORDS_AT_ONCE):
+        part = words[at : at + WORDS_AT_ONCE]
         slots, real, starts = _slots(part)
         lengths = np.diff(np.append(starts, real.sum()))
         weight = np.repeat(np.fromiter(map(merged.get, part), np.float64, len(part)), lengths)
@@ -95,26 +98,42 @@ def _fold(counter: Counter, into: dict) -> None:
             slot = slots[k][real]
             sums = np.bincount(slot, weights=weight, minlength=size)
             ctx, suf = np.zeros(size, np.int32), np.zeros(size, np.int32)
-            if k:
-                ctx[slot], suf[slot] = slots[k - 1][:-1][real[1:]], slots[k - 1][real]
+            if k:  # of n-grams that share a slot the least context and suffix count, in whatever order words come
+                ctx[slot] = suf[slot] = size
+                np.minimum.at(ctx, slot, slots[k - 1][:-1][real[1:]])
+                np.minimum.at(suf, slot, slots[k - 1][real])
             if k in into:
                 old = into[k]
+                seen = sums[old[0]] > 0
                 sums[old[0]] += old[3]
-                ctx[old[0]], suf[old[0]] = old[1], old[2]
+                ctx[old[0]] = np.where(seen, np.minimum(ctx[old[0]], old[1]), old[1])
+                suf[old[0]] = np.where(seen, np.minimum(suf[old[0]], old[2]), old[2])
             have = np.nonzero(sums)[0]
             into[k] = (have, ctx[have], suf[have], sums[have])
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ROWS_AT_ONCE rows and, but for single rows, BYTES_AT_ONCE bytes of the text column."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(batch):
+            most = BYTES_AT_ONCE + (ends[at - 1] if at else 0)
+            stop = max(at + 1, min(at + ROWS_AT_ONCE, int(np.searchsorted(ends, most, "right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     forget()
     words: dict[str, Counter] = {}
     grams: dict[str, dict] = {}
-    for batch in batches:
-        for i, (text, lang) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+    for batch in _pieces(batches, 0):
+        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words.setdefault(lang, Counter()).update(text.lower().split())
-            if i % 200 == 0 and sum(map(len, words.values())) > WORDS_KEPT:
-                for name, counter in words.items():
-                    _fold(counter, grams.setdefault(name, {}))
+        if sum(map(len, words.values())) > WORDS_KEPT:
+            for name, counter in words.items():
+                _fold(counter, grams.setdefault(name, {}))
     for lang, counter in words.items():
         _fold(counter, found := grams.setdefault(lang, {}))
         for k, (slot, ctx, suf, n) in found.items():
@@ -158,7 +177,7 @@ def _build(pdf):
 class _Scorer:
     """Cross-entropies of words under every language, with a bounded memory of words."""
 
-    LIMIT = 250_000
+    LIMIT = 120_000
 
     def __init__(self, uri: str):
         table = {(r["lang"], r["ord"]): r for r in read_table_files(uri).to_pylist()}
@@ -188,8 +207,8 @@ class _Scorer:
         out = np.zeros((len(new), self.rows.shape[1]), np.float32)
         clean = [letters(w) for w in new]
         have = [i for i, w in enumerate(clean) if w]
-        for a in range(0, len(have), 50_000):
-            part = have[a : a + 50_000]
+        for a in range(0, len(have), WORDS_AT_ONCE):
+            part = have[a : a + WORDS_AT_ONCE]
             slots, real, starts = _slots([clean[i] for i in part])
             out[part, -1] = np.diff(np.append(starts, real.sum()))
             p = np.float32(1e-4)
@@ -252,28 +271,26 @@ class LanguageIdentifier:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             scorer = held(("langid", uri), lambda: _Scorer(uri))
-            for whole in batches:
-                for at in range(0, len(whole), 1000):
-                    batch = whole.slice(at, 1000)
-                    sums = scorer.documents(batch.column(width).to_pylist())
-                    n = sums[:, -1]
-                    known, total = (n > 0) & bool(scorer.langs), sums[:, :-1]
-                    best = total.argmin(1)
-                    low = total.min(1)
-                    second = np.partition(total, 1, axis=1)[:, 1] if total.shape[1] > 1 else low
-                    odds = 1.0 / np.exp(np.clip(low[:, None] - total, -700, 0)).sum(1)
-                    names = [scorer.langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            *batch.columns[:width],
-                            pa.array(names, pa.string()),
-                            pa.array(np.where(known, odds, 0.0)),
-                            pa.array(np.where(known, low / np.maximum(n, 1), 0.0), mask=~known),
-                            pa.array((second - low) / np.maximum(n, 1), mask=~known | (total.shape[1] < 2)),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        names=[*keep, *added],
-                    )
+            for batch in _pieces(batches, width):
+                sums = scorer.documents(batch.column(width).to_pylist())
+                n = sums[:, -1]
+                known, total = (n > 0) & bool(scorer.langs), sums[:, :-1]
+                best = total.argmin(1)
+                low = total.min(1)
+                second = np.partition(total, 1, axis=1)[:, 1] if total.shape[1] > 1 else low
+                odds = 1.0 / np.exp(np.clip(low[:, None] - total, -700, 0)).sum(1)
+                names = [scorer.langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *batch.columns[:width],
+                        pa.array(names, pa.string()),
+                        pa.array(np.where(known, odds, 0.0)),
+                        pa.array(np.where(known, low / np.maximum(n, 1), 0.0), mask=~known),
+                        pa.array((second - low) / np.maximum(n, 1), mask=~known | (total.shape[1] < 2)),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=[*keep, *added],
+                )
 
         return source.mapInArrow(run, schema)
 

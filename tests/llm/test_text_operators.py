@@ -503,6 +503,52 @@ def test_language_stage_leaves_columns_of_result_names_alone(spark):
     assert langid.keep_identified(docs.limit(0)).count() == 0
 
 
+def test_language_counts_do_not_depend_on_the_order_of_rows(monkeypatch):
+    """n-grams that share a slot are told apart by rule, not by which word came last."""
+    monkeypatch.setattr(langid, "HASH_BITS", 8)
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choices("abcdefghij", k=rng.randint(1, 7))) for _ in range(30)) for _ in range(300)]
+
+    def counted(rows):
+        found = langid._count_batches(iter([pa.RecordBatch.from_arrays([pa.array(rows), pa.array(["en"] * len(rows))], names=["text", "lang"])]))
+        return sorted(tuple(r.values()) for b in found for r in b.to_pylist())
+
+    whole = counted(texts)
+    assert counted(texts[::-1]) == whole
+    monkeypatch.setattr(langid, "WORDS_KEPT", 500)
+    assert counted(texts) == whole
+
+
+def test_language_workers_stay_small_whatever_the_words(spark, tmp_path):
+    """Two workers share an executor with Spark's heap: neither counting nor scoring may hold a batch's words at once."""
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10)) for _ in range(100)) for _ in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * len(texts))], names=["text", "lang"])
+    model = langid.LanguageIdentifier.fit(spark.createDataFrame([("a plain text", "en")], "text string, lang string"))
+    scorer = langid._Scorer(model.uri)
+    tracemalloc.start()
+    try:
+        for _ in langid._count_batches(iter([batch])):
+            pass
+        counting = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        for part in langid._pieces([batch], 0):
+            scorer.documents(part.column(0).to_pylist())
+        scoring = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counting < 150e6 and scoring < 60e6, (counting, scoring)
+
+
+def test_language_pieces_are_whole_and_bounded():
+    texts = ["x" * n for n in (0, 400_000, 200_000, 1_200_000, 5)] + [None] * 600
+    found = [b.column(0).to_pylist() for b in langid._pieces([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])], 0)]
+    assert [t for part in found for t in part] == texts
+    assert all(len(part) == 1 or len(part) <= langid.ROWS_AT_ONCE and sum(len(t or "") for t in part) <= langid.BYTES_AT_ONCE for part in found)
+
+
 def test_language_id_without_anything_to_learn(spark):
     df = spark.createDataFrame([(1, "text", None), (2, None, "en")], "doc_id long, text string, lang string")
     assert [r["lang_pred"] for r in langid.identify(df).collect()] == ["und", "und"]
