@@ -5,12 +5,14 @@ lists come from blocks of random-hyperplane orderings; rounds of NN-descent foll
 one changes at most ``SETTLED`` of all list entries, each a set of Spark joins: a node gets the vectors of a sample of its
 neighbours and reverse neighbours (fresh edges first), and any two of them that are
 closer than one's worst list entry propose each other. Proposals are reduced to the
-least ``NEIGHBOURS`` a node before and after the shuffle. The search graph has the lists,
+least ``NEIGHBOURS`` a node after the shuffle. A round takes four shuffles, a search round three:
+what a node has and who wants it are dealt by the node together. The search graph has the lists,
 up to ``REVERSE`` nearest reverse edges of each node, and for each node a tree of bounded
 degree over those that have it as their nearest, so a node and its nearest reach each
 other. The components of edges that go both ways get one member each, the least, and
-these are linked in the same manner, over again until one component is left: every
-node is reached from every other.
+these are linked in the same manner, over again until there are at most as many as
+start points; a least spanning tree then links those: every node is reached from every
+other. All of them being start points, no other edge between them changes a search.
 
 Search. Queries are handled in blocks whose vectors have a bounded size. Each round
 expands the ``EXPAND`` nearest unexpanded members of each query's beam of ``BEAM`` by a
@@ -90,6 +92,24 @@ def _forget(df: DataFrame) -> None:
         remove(df.sparkSession, files[0].rsplit("/", 1)[0])
 
 
+def _tree(found: list[tuple[int, bytes]], dtype: np.dtype, width: int) -> list[tuple[int, int, bool]]:
+    """The edges, both ways, of a least spanning tree over some nodes and their vectors."""
+    x = np.frombuffer(b"".join(f[1] for f in found), dtype).reshape(-1, width).astype(np.float64)
+    near, into, edges, last = np.full(len(x), np.inf), np.zeros(len(x), np.int64), [], 0
+    out = np.ones(len(x), bool)
+    out[0] = False
+    for _ in range(len(x) - 1):
+        d = ((x - x[last]) ** 2).sum(1)
+        closer = d < near
+        near[closer], into[closer] = d[closer], last
+        rest = np.nonzero(out)[0]
+        last = int(rest[near[rest].argmin()])
+        out[last] = False
+        a, b = found[last][0], found[into[last]][0]
+        edges += [(a, b, True), (b, a, True)]
+    return edges
+
+
 class NeighbourGraph:
     """nodes (node, vec, ids: up to ``top`` + 1 least ids), graph (node, nbrs), starts (node)."""
 
@@ -110,17 +130,20 @@ class NeighbourGraph:
         all_nodes = count = nodes.count()
         pivots = max(PIVOTS, int(2 * count**0.5))
         starts = nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(pivots)
-        links, part, covered = cls._links(vectors, count, dtype, width, seed), vectors, False
+        links, part = cls._links(vectors, count, dtype, width, seed), vectors
         both = links
         while count > 1 and all_nodes > pivots:  # else every node is a start point
             heads = materialize(cls._heads(links), "heads")
             count = heads.count()
-            if count <= pivots and not covered:
-                starts, covered = starts.unionByName(heads), True
-            if count > 1:
-                part = materialize(part.join(heads, "node"), "heads")
-                links = cls._links(part, count, dtype, width, seed)
-                both = both.unionByName(links)
+            if count <= pivots:
+                starts = starts.unionByName(heads)
+                if count > 1:  # few enough for the driver, which holds as many start points in a search
+                    found = sorted((r["node"], bytes(r["vec"])) for r in part.join(heads, "node").select("node", "vec").collect())
+                    both = both.unionByName(table.sparkSession.createDataFrame(_tree(found, dtype, width), "a long, b long, sure boolean"))
+                break
+            part = materialize(part.join(heads, "node").select("node", "vec"), "heads")
+            links = cls._links(part, count, dtype, width, seed)
+            both = both.unionByName(links)
         graph = materialize(both.select("a", "b").distinct().groupBy("a").agg(F.collect_list("b").alias("nbrs")).withColumnRenamed("a", "node"), "graph")
         return cls(nodes, graph, dtype, width, rows, materialize(starts.distinct(), "starts"))
 
@@ -133,8 +156,8 @@ class NeighbourGraph:
             old, edges = edges, materialize(cls._descend(edges, vectors, turn, dtype, width), "edges")
             _forget(old)
             turn, new = turn + 1, edges.where("fresh").count()
-        back = edges.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).where(F.col("r") <= REVERSE)
-        first = edges.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where("r = 1")
+        back = edges.withColumn("p", F.row_number().over(Window.partitionBy("b").orderBy("d", "a"))).where(F.col("p") <= REVERSE)
+        first = edges.where("r = 1")
         # those with the same nearest are ranked by distance; rank r hangs below rank (r - 1) / REVERSE, the first ranks below the nearest itself
         first = materialize(first.select("a", "b", F.row_number().over(Window.partitionBy("b").orderBy("d", "a")).cast("long").alias("r")), "nearest")
         top = first.where(F.col("r") <= REVERSE).select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -155,7 +178,7 @@ class NeighbourGraph:
 
     @staticmethod
     def _first_lists(vectors: DataFrame, count: int, dtype: np.dtype, width: int, seed: int) -> DataFrame:
-        """(a, b, d, fresh): neighbours inside blocks of TREES hyperplane orderings; d is squared."""
+        """(a, b, d, fresh, ...): neighbours inside blocks of TREES hyperplane orderings; d is squared."""
         bits = max(0, min(40, int(np.log2(max(1, count / TREE_BLOCK)))))
         planes = np.random.default_rng(seed).normal(size=(TREES, bits + 1, width))
 
@@ -202,22 +225,22 @@ class NeighbourGraph:
         keyed = vectors.mapInArrow(spread, "tree long, code long, side double, node long, vec binary")
         parts = max(1, min(2000, TREES * count // 20_000))
         dealt = keyed.repartitionByRange(parts, "tree", "code", "side").sortWithinPartitions("tree", "code", "side").select("tree", "node", "vec")
-        return _least(dealt.mapInArrow(inside, "a long, b long, d double, fresh boolean"))
+        return _least(dealt.mapInArrow(inside, "a long, b long, d double, fresh boolean"), 0)
 
     @staticmethod
     def _descend(edges: DataFrame, vectors: DataFrame, turn: int, dtype: np.dtype, width: int) -> DataFrame:
         """One round: neighbours of neighbours propose each other."""
-        draw = F.xxhash64("a", "b", F.lit(turn))
-        order = [F.desc("fresh"), draw]
-        ahead = edges.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(*order))).where(F.col("r") <= SAMPLE)
-        behind = edges.withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(*order))).where(F.col("r") <= SAMPLE)
-        members = ahead.select(F.col("a").alias("at"), F.col("b").alias("m")).unionByName(behind.select(F.col("b").alias("at"), F.col("a").alias("m"))).distinct()
-        worst = edges.groupBy("a").agg(F.when(F.count(F.lit(1)) >= NEIGHBOURS, F.max("d")).otherwise(F.lit(float("inf"))).alias("worst"))
-        carried = vectors.join(worst, vectors.node == worst.a).select(F.col("node").alias("m"), "worst", "vec")
-        met = members.join(carried, "m").select("at", "m", "worst", "vec").repartition("at").sortWithinPartitions("at")
+        behind = edges.withColumn("p", F.row_number().over(Window.partitionBy("b").orderBy(*_drawn(turn)))).where(F.col("p") <= SAMPLE)
+        # what a node has, and who wants it: one shuffle by the node, and the rest is filled in beside it
+        has = vectors.select(F.col("node").alias("m"), "vec").unionByName(edges.where("r = 1").select(F.col("a").alias("m"), "worst"), allowMissingColumns=True)
+        wants = edges.where("picked").select(F.col("a").alias("at"), F.col("b").alias("m")).unionByName(behind.select(F.col("b").alias("at"), F.col("a").alias("m")))
+        met = _filled(has.unionByName(wants, allowMissingColumns=True), "m", ["worst", "vec"]).where("at is not null and worst is not null")
+        met = met.select("at", "m", "worst", "vec").repartition("at").sortWithinPartitions("at", "m")
 
         def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in _runs(batches):
+                at, m = part.column(0).to_numpy(), part.column(1).to_numpy()
+                part = part.filter(pa.array(np.append(True, (at[1:] != at[:-1]) | (m[1:] != m[:-1]))))  # one may be ahead and behind
                 at, m, worst_of = (part.column(k).to_numpy() for k in range(3))
                 x = _matrix(part.column(3).combine_chunks(), dtype, width).astype(np.float64)  # single precision loses what parts near vectors far from the origin
                 begin = np.nonzero(np.append(True, at[1:] != at[:-1]))[0]
@@ -238,7 +261,7 @@ class NeighbourGraph:
                         yield pa.RecordBatch.from_arrays([pa.array(who[g, i]), pa.array(who[g, j]), pa.array(d[g, i, j]), pa.array(np.ones(len(g), bool))], names=["a", "b", "d", "fresh"])
 
         proposed = met.mapInArrow(join, "a long, b long, d double, fresh boolean")
-        return _least(edges.withColumn("fresh", F.lit(False)).unionByName(proposed))
+        return _least(edges.select("a", "b", "d", F.lit(False).alias("fresh")).unionByName(proposed), turn + 1)
 
     def search(self, top: int = 10, queries: str = "true") -> DataFrame:
         """(query_id, rank, id, score) of the rows for which the SQL condition ``queries`` on ``id`` holds, against every other row."""
@@ -321,14 +344,34 @@ class NeighbourGraph:
             ahead = state.where("s = 1").select("q", "node")
             if ahead.isEmpty():
                 return state.select("q", "node", "d")
-            reached = ahead.join(self.graph, "node").select("q", F.explode("nbrs").alias("node")).repartition("node").distinct()
-            measured = reached.join(self.nodes.select("node", "vec"), "node").select("q", "node", "vec").mapInArrow(measure, empty)
+            asked = _filled(ahead.unionByName(self.graph, allowMissingColumns=True), "node", ["nbrs"]).where("q is not null")
+            reached = asked.select("q", F.explode("nbrs").alias("node")).unionByName(self.nodes.select("node", "vec"), allowMissingColumns=True)
+            reached = _filled(reached.repartition("node").groupBy("node", "q").agg(F.first("vec", ignorenulls=True).alias("vec")), "node", ["vec"])
+            measured = reached.where("q is not null").select("q", "node", "vec").mapInArrow(measure, empty)
             done = state.withColumn("s", F.when(F.col("s") > 0, F.lit(2)).otherwise(F.col("s")).cast("int"))
             old, state = state, merged(done.unionByName(measured))
             _forget(old)
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """The NEIGHBOURS nearest different b of every a; an edge that was there before isn't fresh."""
-    one = edges.groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
-    return one.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("d", "b"))).where(F.col("r") <= NEIGHBOURS).drop("r")
+def _drawn(turn: int) -> list:
+    """The order in which a round samples edges: fresh ones first, else by hash."""
+    return [F.desc("fresh"), F.xxhash64("a", "b", F.lit(turn))]
+
+
+def _least(edges: DataFrame, turn: int) -> DataFrame:
+    """The NEIGHBOURS nearest different b of every a; an edge that was there before isn't fresh.
+
+    r: the place in the list; worst: the distance that a proposal has to beat; picked: whether round ``turn`` samples the edge.
+    All of it is told after one shuffle by a.
+    """
+    mine = Window.partitionBy("a")
+    one = edges.repartition("a").groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
+    kept = one.withColumn("r", F.row_number().over(mine.orderBy("d", "b"))).where(F.col("r") <= NEIGHBOURS)
+    worst = F.when(F.count(F.lit(1)).over(mine) >= NEIGHBOURS, F.max("d").over(mine)).otherwise(F.lit(float("inf")))
+    return kept.withColumn("worst", worst).withColumn("picked", F.row_number().over(mine.orderBy(*_drawn(turn))) <= SAMPLE)
+
+
+def _filled(rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Rows of several kinds after one shuffle by ``key``: each gets the ``columns`` of the row of its key that has them."""
+    every = Window.partitionBy(key)
+    return rows.withColumns({c: F.first(c, ignorenulls=True).over(every) for c in columns})

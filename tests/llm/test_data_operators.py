@@ -240,6 +240,39 @@ def test_neighbours_in_far_clusters(spark, monkeypatch):
     assert len(seen) == 2500
 
 
+def test_neighbours_rounds_take_few_shuffles(spark, monkeypatch):
+    """At many partitions a shuffle's tasks are what a round costs; components that all are start points get no lists of their own."""
+    monkeypatch.setattr(ann, "PIVOTS", 8)
+    plans: dict = {}
+    write = ann.materialize
+
+    def seen(df, name, *more):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name, *more)
+
+    monkeypatch.setattr(ann, "materialize", seen)
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(3, 6)) * 100, 60, axis=0) + rng.normal(size=(180, 6)) * 0.01
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in ann.NeighbourGraph.build(df).search(queries="id % 20 = 0").collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["id"]))
+    assert all([i for _, i in sorted(found[q])] == brute(np.arange(180), x, q, 10)[0] for q in range(0, 180, 20))
+    assert len(plans["links"]) == 1 and max(plans["edges"]) <= 4 and max(plans["beams"]) <= 3, plans
+
+
+def test_tree_spans_at_least_length():
+    x = np.random.default_rng(9).normal(size=(40, 3))
+    edges = ann._tree([(100 + i, v.tobytes()) for i, v in enumerate(x)], np.dtype("<f8"), 3)
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    group, least = list(range(40)), 0.0
+    for i, j in sorted(((i, j) for i in range(40) for j in range(i)), key=lambda e: d[e]):
+        if group[i] != group[j]:
+            group, least = [group[i] if g == group[j] else g for g in group], least + d[i, j]
+    assert len(edges) == 78 and {(b, a) for a, b, _ in edges} == {(a, b) for a, b, _ in edges}
+    assert np.isclose(sum(d[a - 100, b - 100] for a, b, _ in edges), 2 * least)
+
+
 def test_neighbours_few_or_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert sorted((r["rank"], r["id"]) for r in ann.NeighbourGraph.build(df).search(queries="id = 0").collect()) == [(1, 2), (2, 1)]
